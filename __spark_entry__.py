@@ -205,6 +205,7 @@ def _top_brand_hours(spark: SparkSession, sf_dir: str, exclusive: bool, resoluti
         rules=REGION_CLASSES,
         exclusive=exclusive,
         resolution=resolution,
+        rental_keys=_renamed(_table(spark, sf_dir, "orders"), customer_id="o_custkey"),
     )
 
 
@@ -281,8 +282,10 @@ def gold_fact_orders_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _renamed(_table(spark, sf_dir, "part"), l_partkey="p_partkey", product_id="p_size")
     supplier = _renamed(_table(spark, sf_dir, "supplier"), l_suppkey="s_suppkey", store_id="s_nationkey")
     customer = _renamed(_table(spark, sf_dir, "customer"), o_custkey="c_custkey", client_id="c_nationkey")
-    rows = lookup_join(_lines_with_orders(spark, sf_dir), part, "l_partkey")
-    rows = lookup_join(lookup_join(rows, supplier, "l_suppkey"), customer, "o_custkey")
+    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
+    rows = lookup_join(_lines_with_orders(spark, sf_dir), part, "l_partkey", keys_from=lines)
+    rows = lookup_join(rows, supplier, "l_suppkey", keys_from=lines)
+    rows = lookup_join(rows, customer, "o_custkey", keys_from=orders)
     rows = rows.select(
         F.to_date("o_orderdate").alias("order_date"),
         "client_id",

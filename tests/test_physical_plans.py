@@ -1,0 +1,68 @@
+"""What the plans must and must not contain."""
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+READ_ONLY = [
+    n for n in entry.queries() if not n.startswith(("bronze_", "silver_append", "silver_s", "silver_day", "stream_"))
+]
+
+
+@pytest.fixture
+def plan_of(spark, physical_plan):
+    return lambda name: physical_plan(entry.queries()[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", READ_ONLY)
+def test_no_python_and_no_cross_join(plan_of, name):
+    plan = plan_of(name)
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
+
+
+@pytest.mark.parametrize("name", READ_ONLY)
+def test_no_sort_merge_join_of_broadcastable_tables(plan_of, name):
+    if name.startswith("top1_hours"):
+        pytest.skip("the classed customers have no usable size estimate before they run")
+    assert "SortMergeJoin" not in plan_of(name)
+
+
+def test_anti_join(plan_of):
+    assert "LeftAnti" in plan_of("unreferenced_items")
+
+
+def test_top_k_is_not_a_full_sort(plan_of):
+    assert "TakeOrderedAndProject" in plan_of("topk_entities_by_links")
+
+
+def test_first_row_per_class_is_cut_before_the_shuffle(plan_of):
+    plan = plan_of("top1_per_class_overlap")
+    assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
+
+
+def test_no_single_task_window(plan_of):
+    assert "Window" not in plan_of("dense_rank_top3_ties")
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_counts_are_computed_once_for_the_ranking(spark, conf, physical_plan, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    result = entry.queries()["dense_rank_top3_ties"](spark, SF_DIR)
+    result.collect()
+    assert "ReusedExchange" in physical_plan(result)
+
+
+def test_day_slice_reaches_the_scan(plan_of):
+    pushed = plan_of("orders_day_slice").split("PushedFilters: ")[1]
+    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
+
+
+def test_only_needed_columns_are_read(plan_of):
+    assert "ReadSchema: struct<c_nationkey:int>" in plan_of("category_count")
+
+
+def test_partial_aggregation_before_every_shuffle_of_facts(plan_of):
+    for name in ("category_count", "gold_fact_orders", "check_unique_key"):
+        assert "partial_" in plan_of(name)

@@ -1,0 +1,119 @@
+"""Salted joins give the rows of plain joins, and hot keys are found and bounded."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidelake.operators import hot_keys, lookup_join, skew, unreferenced
+
+
+@pytest.fixture
+def always_salted(conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "8")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(skew, "ONE_TASK_BYTES", -1)
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    """A third of the rows on one key, a tenth without a key, the rest spread."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(7)).when(n % 10 == 1, F.lit(None)).otherwise(n % 5000)
+    return spark.range(0, 30_000, 1, 6).select(key.cast("long").alias("k"), n.alias("v"))
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    doubled = spark.createDataFrame([(7, "again"), (None, "null")], "k long, name string")
+    return spark.range(0, 4000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name")).union(doubled)
+
+
+def test_hot_keys_are_found(spark, facts, conf):
+    conf("spark.sql.shuffle.partitions", "16")
+    hot = hot_keys(facts, ["k"])
+    seven = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
+    assert set(hot) == {seven, None}
+    assert hot[seven] >= 16 / 3
+
+
+def test_no_hot_keys(spark, conf):
+    conf("spark.sql.shuffle.partitions", "200")
+    assert hot_keys(spark.range(0, 50_000, 1, 4), ["id"]) == {}
+    assert hot_keys(spark.range(0), ["id"]) == {}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_few_rows_and_only_nulls(spark, conf, adaptive):
+    conf("spark.sql.adaptive.enabled", adaptive)
+    conf("spark.sql.shuffle.partitions", "32")
+    few = spark.range(0, 3, 1, 8)
+    assert hot_keys(few.select(F.lit(None).cast("long").alias("k")), ["k"]) == {None: 33}
+    assert len(hot_keys(few, ["id"])) == 3
+
+
+def test_number_of_hot_keys_is_bounded(spark, conf):
+    conf("spark.sql.shuffle.partitions", "20000")
+    hot = hot_keys(spark.range(0, 40_000, 1, 4).select((F.col("id") % 400).alias("k")), ["k"])
+    assert 0 < len(hot) <= 512
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_equals_plain(facts, lookup, always_salted, physical_plan, how):
+    salted = lookup_join(facts, lookup, "k", how)
+    assert "_salt" in physical_plan(salted)
+    plain = facts.join(lookup, ["k"], how)
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+    assert salted.count() == plain.count()
+
+
+def test_salts_spread_a_hot_key(facts, lookup, always_salted):
+    salted = lookup_join(facts, lookup, "k")
+    tasks = salted.filter("k = 7").groupBy(F.spark_partition_id().alias("task")).count()
+    assert tasks.count() > 1
+
+
+def test_equal_rows_are_spread_too(spark, lookup, always_salted):
+    same = spark.range(0, 9000, 1, 6).select(F.lit(7).cast("long").alias("k"))
+    salted = lookup_join(same, lookup.filter("k = 7"), "k")
+    assert salted.count() == 18_000
+    assert salted.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_two_key_columns(facts, lookup, always_salted, physical_plan):
+    left = facts.withColumn("k2", F.col("k") % 2)
+    right = lookup.withColumn("k2", F.col("k") % 2)
+    salted = lookup_join(left, right, ["k", "k2"])
+    assert "_salt" in physical_plan(salted)
+    assert salted.exceptAll(left.join(right, ["k", "k2"])).isEmpty()
+    assert salted.count() == facts.join(lookup, "k").count()
+
+
+def test_hot_keys_from_another_table(facts, lookup, always_salted):
+    derived = facts.join(facts.select("v").distinct(), "v").select("k", "v")
+    salted = lookup_join(derived, lookup, "k", "left", keys_from=facts)
+    assert salted.count() == facts.join(lookup, "k", "left").count()
+
+
+def test_keys_of_different_types_join_plainly(facts, lookup, always_salted, physical_plan):
+    narrow = lookup.select(F.col("k").cast("int").alias("k"), "name")
+    joined = lookup_join(facts, narrow, "k")
+    assert "_salt" not in physical_plan(joined)
+    assert joined.count() == facts.join(lookup, "k").count()
+
+
+def test_small_lookup_is_left_to_catalyst(facts, lookup, physical_plan):
+    plan = physical_plan(lookup_join(facts, lookup.limit(10), "k"))
+    assert "_salt" not in plan
+
+
+def test_unknown_join_type(facts, lookup):
+    with pytest.raises(ValueError):
+        lookup_join(facts, lookup, "k", "full")
+
+
+def test_unreferenced_with_hot_references(facts, spark, always_salted):
+    items = spark.range(0, 6000).withColumnRenamed("id", "k")
+    used = {r[0] for r in rows(facts.select("k").distinct())}
+    assert rows(unreferenced(items, facts, "k")) == sorted([(n,) for n in range(6000) if n not in used], key=repr)

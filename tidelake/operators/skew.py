@@ -1,10 +1,14 @@
 """Equi-joins that hold when one key owns a large share of the rows.
 
 A side that Catalyst estimates below the broadcast threshold is left to Catalyst,
-which broadcasts it: no shuffle, no skew. Otherwise one pass over the key column
-looks for hot keys. Without any, the join is a plain one. With some, the rows of
-each hot key are spread over several salts by the task that read them, and the
-matching rows of the other side are repeated once per salt.
+which broadcasts it: no shuffle, no skew. Facts so few that one task can take them
+all are left alone too. Otherwise one pass over the key column looks for hot keys.
+Without any, the join is a plain one. With some, the rows of each hot key are
+spread over several salts by the task that read them, and the matching rows of the
+other side are repeated once per salt.
+
+Adaptive execution splits skewed joins as well, but not where a side was grouped by
+the join key just before, or is grouped by it just after.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 TRACKED_KEYS = 1024
 # So a key below this share is never called hot, and there are at most 512 hot keys.
 MIN_HOT_SHARE = 1 / 512
+# Facts of at most this size fit one task, whatever their keys; it is also the size from
+# which adaptive execution calls a partition skewed.
+ONE_TASK_BYTES = 256 * 1024 * 1024
 # Sketches are merged in this many groups before the last merge.
 SKETCH_GROUPS = 64
 
@@ -63,6 +70,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
             F.count("*").alias("n"),
             F.count("key").alias("n_keys"),
         )
+        # Grouped by a constant, as the combination of no sketch at all is an error.
+        .groupBy(F.lit("all"))
         .agg(
             F.expr("approx_top_k_combine(sketch)").alias("sketch"),
             F.sum("n").alias("n"),
@@ -72,7 +81,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
     found = sketches.select(
         "n", "n_keys", F.expr(f"approx_top_k_estimate(sketch, {int(1 / MIN_HOT_SHARE)})").alias("top")
     ).first()
-    if not found["n"]:
+    if found is None:
         return {}
     counts = {row["item"]: row["count"] for row in found["top"]}
     counts[None] = found["n"] - found["n_keys"]
@@ -112,23 +121,33 @@ def _salted_join(
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
     """Join ``facts`` to ``lookup`` on columns named alike on both sides.
 
     ``facts`` may hold many rows per key and has its hot keys split; ``how`` is
     ``inner``, ``left``, ``left_semi`` or ``left_anti``. Where ``lookup`` also
     repeats keys and only presence counts, reduce it with ``distinct`` before.
+
+    ``keys_from`` is the table to look for hot keys in, for ``facts`` that are the
+    result of joins: looking there costs a scan, looking in ``facts`` the joins.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    limit = broadcast_limit(facts.sparkSession)
-    smaller = estimated_bytes(lookup)
+    source = facts if keys_from is None else keys_from
+    shuffled = estimated_bytes(lookup)
     if how == "inner":
-        smaller = min(smaller, estimated_bytes(facts))
+        shuffled = min(shuffled, estimated_bytes(facts))
     # Keys of different types would hash differently on the two sides.
     same_types = all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
-    hot = hot_keys(facts, keys) if smaller > limit and same_types else {}
+    may_skew = shuffled > broadcast_limit(facts.sparkSession) and estimated_bytes(source) > ONE_TASK_BYTES
+    hot = hot_keys(source, keys) if same_types and may_skew else {}
     if not hot:
         return facts.join(lookup, keys, how)
     return _salted_join(facts, lookup, keys, how, hot)

@@ -56,7 +56,7 @@ def clean_shop_table(
     else:
         paths = bronze_paths(lake.bronze, source, start, last, "csv")
     rows = read_bronze_csv(spark, paths, schemas[table], multiline)
-    write_table(clean(rows, dedupe=dedupe), lake.silver_path(table), policy)
+    write_table(clean(rows, dedupe=dedupe), lake.silver_path(table), policy, gather=last > start)
 
 
 def clean_out_of_stock(
@@ -68,10 +68,12 @@ def clean_out_of_stock(
     policies: dict[str, WritePolicy] = WRITE_POLICIES,
 ) -> dict[str, int]:
     """Bronze JSON of the feed to silver; returns how many rows were read and dropped for nulls."""
-    paths = bronze_paths(lake.bronze, lake.feed, start, end or start, "json")
+    last = end or start
+    paths = bronze_paths(lake.bronze, lake.feed, start, last, "json")
     counts = Observation()
     rows = clean(read_bronze_json(spark, paths, schema), ["date", "product_id"], observation=counts)
-    write_table(rows, lake.silver_path("out_of_stock"), write_policy("out_of_stock", policies))
+    policy = write_policy("out_of_stock", policies)
+    write_table(rows, lake.silver_path("out_of_stock"), policy, gather=last > start)
     return counts.get
 
 

@@ -14,7 +14,12 @@ def _table_ddl(name: str, table: StarTable, location: str | None, buckets: int)
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in table.columns
     )
-    ddl = f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (compression 'zstd')"
+    options = {"compression": "zstd"}
+    if table.partition_by:
+        # As an option of the table, because insertInto ignores it as one of the writer.
+        options["partitionOverwriteMode"] = "dynamic"
+    listed = ", ".join(f"{key} '{value}'" for key, value in options.items())
+    ddl = f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS ({listed})"
     if table.partition_by:
         ddl += f" PARTITIONED BY (`{table.partition_by}`)"
     if table.bucket_by:
@@ -108,7 +113,7 @@ def load_fact(df: DataFrame, database: str, name: str, tables: dict[str, StarTab
         .hint("rebalance", table.partition_by, "_bucket")
         .select(*columns)
     )
-    placed.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    placed.write.insertInto(target, overwrite=True)
 
 
 def load_dimension(df: DataFrame, database: str, name: str, tables: dict[str, StarTable] = STAR_SCHEMA) -> None:
