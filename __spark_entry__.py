@@ -153,12 +153,12 @@ def _top_priority_per_region_class(spark: SparkSession, sf_dir: str, exclusive:
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_quantity").cast("bigint").alias("quantity")
     )
     rows = roll_up(
-        lines, _table(spark, sf_dir, "orders"), "o_orderkey", ["o_custkey", "o_orderpriority"], "quantity"
+        lines, _table(spark, sf_dir, "orders"), "o_orderkey", ["o_custkey", "o_orderpriority"], "quantity", to_one=True
     ).withColumnRenamed("o_custkey", "c_custkey")
     carry = "o_orderpriority"
-    rows = roll_up(rows, _table(spark, sf_dir, "customer"), "c_custkey", "c_nationkey", "quantity", carry)
+    rows = roll_up(rows, _table(spark, sf_dir, "customer"), "c_custkey", "c_nationkey", "quantity", carry, to_one=True)
     rows = rows.withColumnRenamed("c_nationkey", "n_nationkey")
-    rows = roll_up(rows, _table(spark, sf_dir, "nation"), "n_nationkey", "n_regionkey", "quantity", carry)
+    rows = roll_up(rows, _table(spark, sf_dir, "nation"), "n_nationkey", "n_regionkey", "quantity", carry, to_one=True)
     rows = rows.withColumnRenamed("n_regionkey", "r_regionkey")
     region = _table(spark, sf_dir, "region")
     if exclusive:

@@ -2,7 +2,7 @@
 
 Joining first and grouping last would carry every fact row through each join and,
 where two tables repeat a key, multiply them. Here the rows of a key are summed
-before they meet the next table, so a shuffle carries one row per key and task.
+before before they meet the next table, so a shuffle carries one row per key and task.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.operators.skew import lookup_join
+from tidelake.operators.skew import broadcast_limit, estimated_bytes, lookup_join
 
 
 def _names(columns: str | Sequence[str]) -> list[str]:
@@ -30,14 +30,20 @@ def roll_up(
     to: str | Sequence[str],
     values: str | Sequence[str],
     carry: str | Sequence[str] = (),
+    to_one: bool = False,
 ) -> DataFrame:
     """Sum ``values`` per ``on`` and hand each sum to the ``to`` columns it is linked with.
 
     A key linked to several targets counts for each of them; a key without a
     link drops out. ``carry`` are further columns of ``measures`` to keep apart.
     Several rows may share a target: the next step, or a last ``totals``, adds them.
+    ``to_one`` promises one target per key. Then nothing multiplies, and links small
+    enough to be broadcast are joined as they are, which saves the shuffle by ``on``.
     """
     to, values, carry = _names(to), _names(values), _names(carry)
-    per_key = totals(measures, [on, *carry], values)
     targets = links.select(on, *[c for c in to if c != on])
-    return lookup_join(targets, per_key, on).select(*to, *carry, *values)
+    if to_one and estimated_bytes(targets) <= broadcast_limit(links.sparkSession):
+        linked = measures.join(targets, on)
+    else:
+        linked = lookup_join(targets, totals(measures, [on, *carry], values), on)
+    return linked.select(*to, *carry, *values)

@@ -121,6 +121,16 @@ def _salted_join(
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, source: DataFrame) -> bool:
+    limit = broadcast_limit(facts.sparkSession)
+    if estimated_bytes(lookup) <= limit or estimated_bytes(source) <= ONE_TASK_BYTES:
+        return False
+    if how == "inner" and estimated_bytes(facts) <= limit:
+        return False
+    # Keys of different types would hash differently on the two sides.
+    return all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -141,13 +151,7 @@ def lookup_join(
         raise ValueError(f"unsupported join {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     source = facts if keys_from is None else keys_from
-    shuffled = estimated_bytes(lookup)
-    if how == "inner":
-        shuffled = min(shuffled, estimated_bytes(facts))
-    # Keys of different types would hash differently on the two sides.
-    same_types = all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
-    may_skew = shuffled > broadcast_limit(facts.sparkSession) and estimated_bytes(source) > ONE_TASK_BYTES
-    hot = hot_keys(source, keys) if same_types and may_skew else {}
+    hot = hot_keys(source, keys) if _may_skew(facts, lookup, keys, how, source) else {}
     if not hot:
         return facts.join(lookup, keys, how)
     return _salted_join(facts, lookup, keys, how, hot)

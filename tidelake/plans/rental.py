@@ -23,7 +23,7 @@ from tidelake.operators.skew import lookup_join, unreferenced
 def films_per_category(film_category: DataFrame, category: DataFrame) -> DataFrame:
     """(category, film_cnt), most films first. Categories of one name count as one."""
     films = film_category.select("category_id", F.lit(1).cast("long").alias("film_cnt"))
-    named = roll_up(films, category, "category_id", "name", "film_cnt").withColumnRenamed("name", "category")
+    named = roll_up(films, category, "category_id", "name", "film_cnt", to_one=True).withColumnRenamed("name", "category")
     return totals(named, "category", "film_cnt").orderBy(F.desc("film_cnt"), "category")
 
 
@@ -36,10 +36,10 @@ def most_rented_actors(
     rows; here its rentals are one number before they meet the actors.
     """
     rentals = rental.select("inventory_id", F.lit(1).cast("long").alias("total_rental"))
-    per_film = roll_up(rentals, inventory, "inventory_id", "film_id", "total_rental")
+    per_film = roll_up(rentals, inventory, "inventory_id", "film_id", "total_rental", to_one=True)
     per_actor = roll_up(per_film, film_actor, "film_id", "actor_id", "total_rental")
     columns = ["actor_id", "first_name", "last_name"]
-    named = roll_up(per_actor, actor, "actor_id", columns, "total_rental")
+    named = roll_up(per_actor, actor, "actor_id", columns, "total_rental", to_one=True)
     return top_k(totals(named, columns, "total_rental"), "total_rental", k, ["actor_id"])
 
 
@@ -48,10 +48,10 @@ def top_category_by_amount(
 ) -> DataFrame:
     """The category on which most money was spent: (name, total_amount)."""
     paid = payment.select("rental_id", F.col("amount").alias("total_amount"))
-    per_item = roll_up(paid, rental, "rental_id", "inventory_id", "total_amount")
-    per_film = roll_up(per_item, inventory, "inventory_id", "film_id", "total_amount")
+    per_item = roll_up(paid, rental, "rental_id", "inventory_id", "total_amount", to_one=True)
+    per_film = roll_up(per_item, inventory, "inventory_id", "film_id", "total_amount", to_one=True)
     per_category = roll_up(per_film, film_category, "film_id", "category_id", "total_amount")
-    named = roll_up(per_category, category, "category_id", "name", "total_amount")
+    named = roll_up(per_category, category, "category_id", "name", "total_amount", to_one=True)
     return top_k(totals(named, "name", "total_amount"), "total_amount", 1, ["name"])
 
 
@@ -90,8 +90,8 @@ def customers_per_city(customer: DataFrame, address: DataFrame, city: DataFrame)
         F.col("active").cast("long").alias("active_customers"),
         (1 - F.col("active")).cast("long").alias("not_active_customers"),
     )
-    per_city = roll_up(flags, address, "address_id", "city_id", measures)
-    named = roll_up(per_city, city, "city_id", "city", measures)
+    per_city = roll_up(flags, address, "address_id", "city_id", measures, to_one=True)
+    named = roll_up(per_city, city, "city_id", "city", measures, to_one=True)
     return totals(named, "city", measures).orderBy(F.desc("not_active_customers"), "city")
 
 
@@ -130,9 +130,9 @@ def top_category_per_city_class(
     hours = hours.select("inventory_id", "customer_id", "units")
     classed = lookup_join(hours, customers, "customer_id", keys_from=rental_keys)
     # From here a key has one row per class, however many rentals a customer or film had.
-    per_film = roll_up(classed, inventory, "inventory_id", "film_id", "units", carry="city_type")
+    per_film = roll_up(classed, inventory, "inventory_id", "film_id", "units", carry="city_type", to_one=True)
     per_category = roll_up(per_film, film_category, "film_id", "category_id", "units", carry="city_type")
-    named = roll_up(per_category, category, "category_id", "name", "units", carry="city_type")
+    named = roll_up(per_category, category, "category_id", "name", "units", carry="city_type", to_one=True)
     best = top1_per_class(totals(named, ["city_type", "name"], "units"), "city_type", "units", "name")
     return best.select(
         "city_type", "name", (F.col("units") / UNITS_PER_HOUR[resolution]).alias("total_rental_hours")
