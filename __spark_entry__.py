@@ -24,9 +24,9 @@ from tidelake.operators import (
     totals,
 )
 from tidelake.plans import rental, star
-from tidelake.schemas import WritePolicy
+from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir
-from tidelake.sinks import write_csv, write_json, write_table
+from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
 from tidelake.sources import day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed
 
@@ -372,6 +372,51 @@ def bronze_wrapped_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFram
     return read_bronze_json(spark, path, FEED_SCHEMA, wrapped=True)
 
 
+def feed_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer in JSON, landed as CSV."""
+    root = scratch_dir(spark, "feed-csv")
+    write_json(_feed(spark, sf_dir), f"{root}/answer")
+    write_csv(read_bronze_json(spark, f"{root}/answer", FEED_SCHEMA), f"{root}/csv")
+    return read_bronze_csv(spark, f"{root}/csv", FEED_SCHEMA, multiline=False)
+
+
+def orders_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as landed CSV, cleaned into a table by day, added up for gold."""
+    root = scratch_dir(spark, "orders-layers")
+    orders = _shop_orders(spark, sf_dir)
+    write_csv(orders, f"{root}/bronze")
+    bronze = read_bronze_csv(spark, f"{root}/bronze", orders.schema, multiline=False)
+    write_table(clean(bronze), f"{root}/silver", write_policy("orders"))
+    return star.fact_orders(read_silver(spark, f"{root}/silver", orders.schema))
+
+
+def warehouse_out_of_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed loaded into the star schema, its later days a second time."""
+    root, database = _new_warehouse(spark)
+    facts = star.fact_out_of_stock(clean(_feed(spark, sf_dir), not_null=["date", "product_id"]))
+    load_fact(facts, database, "out_of_stock")
+    load_fact(day_slice(facts, "date", date(2024, 1, 15), date(2024, 1, 30)), database, "out_of_stock")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return read_silver(spark, f"{root}/out_of_stock")
+
+
+def warehouse_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension loaded into the star schema twice."""
+    root, database = _new_warehouse(spark)
+    for _ in range(2):
+        load_dimension(gold_dim_products(spark, sf_dir), database, "dim_products")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return read_silver(spark, f"{root}/dim_products")
+
+
+def _new_warehouse(spark: SparkSession) -> tuple[str, str]:
+    """Folder and database of an empty star schema; dropping the database leaves the files."""
+    root = scratch_dir(spark, "warehouse")
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    create_star_schema(spark, database, root, buckets=8)
+    return root, database
+
+
 def silver_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days, then the days from 2024-01-15 a second time: nothing doubles."""
     path = scratch_dir(spark, "silver-append")
@@ -456,6 +501,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_csv_round_trip": bronze_csv_round_trip,
         "bronze_json_round_trip": bronze_json_round_trip,
         "bronze_wrapped_json_round_trip": bronze_wrapped_json_round_trip,
+        "feed_csv_landing": feed_csv_landing,
+        "orders_bronze_to_gold": orders_bronze_to_gold,
+        "warehouse_out_of_stock": warehouse_out_of_stock,
+        "warehouse_dim_products": warehouse_dim_products,
         "silver_append_twice": silver_append_twice,
         "silver_static_overwrite": silver_static_overwrite,
         "silver_snapshot_overwrite": silver_snapshot_overwrite,
@@ -629,6 +678,21 @@ def oracle_sql() -> dict[str, str]:
         "bronze_csv_round_trip": "SELECT * FROM customer",
         "bronze_json_round_trip": _FEED_SQL,
         "bronze_wrapped_json_round_trip": _FEED_SQL,
+        "feed_csv_landing": _FEED_SQL,
+        "orders_bronze_to_gold": """
+            SELECT order_date, client_id, product_id, store_id, CAST(SUM(quantity) AS BIGINT) AS quantity FROM (
+                SELECT DISTINCT CAST(o_orderdate AS DATE) AS order_date, o_custkey AS client_id,
+                       l_partkey AS product_id, l_suppkey AS store_id, CAST(l_quantity AS BIGINT) AS quantity
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS o
+            GROUP BY ALL""",
+        "warehouse_out_of_stock": f"""
+            SELECT date, CAST(product_id AS INTEGER) AS product_id FROM ({_CLEAN_FEED_SQL})""",
+        "warehouse_dim_products": """
+            SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, d.p_type AS department,
+                   a.p_brand AS aisle
+            FROM part AS p
+            LEFT JOIN (SELECT DISTINCT p_type FROM part WHERE p_type <> 'SMALL') AS d ON p.p_type = d.p_type
+            LEFT JOIN (SELECT DISTINCT p_brand FROM part) AS a ON p.p_brand = a.p_brand""",
         "silver_append_twice": _CLEAN_FEED_SQL,
         "silver_static_overwrite": f"SELECT date, product_id FROM ({_CLEAN_FEED_SQL}) WHERE date >= DATE '2024-01-15'",
         "silver_snapshot_overwrite": """

@@ -122,6 +122,22 @@ def test_a_day_of_nulls_keeps_the_table_readable(spark, tmp_path):
     assert table.filter("quantity IS NULL").count() == 4
 
 
+def test_a_large_day_is_written_by_many_tasks(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    conf("spark.sql.shuffle.partitions", "8")
+    day = F.when(F.col("id") % 3 == 0, F.lit("2021-01-01")).otherwise(
+        F.date_add(F.lit("2021-01-02").cast("date"), (F.col("id") % 40).cast("int")).cast("string")
+    )
+    df = spark.range(0, 100_000, 1, 8).select(day.cast("date").alias("date"), F.col("id").cast("int").alias("product_id"))
+    path = str(tmp_path / "t")
+    write_table(df, path, write_policy("out_of_stock"))
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("date=*")}
+    # Without the rebalance each of 8 tasks would write a file for each of 41 days.
+    assert files["date=2021-01-01"] > 1
+    assert sum(files.values()) < 8 * 41 / 2
+    assert read_silver(spark, path).count() == 100_000
+
+
 def test_unknown_table_or_mode():
     with pytest.raises(KeyError):
         write_policy("unheard_of")

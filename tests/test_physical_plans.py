@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-READ_ONLY = [
-    n for n in entry.queries() if not n.startswith(("bronze_", "silver_append", "silver_s", "silver_day", "stream_"))
-]
+WRITING = ("bronze_", "silver_append", "silver_s", "silver_day", "stream_", "feed_", "orders_bronze", "warehouse_")
+READ_ONLY = [n for n in entry.queries() if not n.startswith(WRITING)]
 
 
 @pytest.fixture

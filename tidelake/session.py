@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "tidelake") -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Folders of a table are listed by few tasks, not by one task each.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
