@@ -6,7 +6,9 @@ from datetime import date
 import pytest
 
 from conftest import rows
-from tidelake.plans.jobs import Lake, clean_shop_table, load_gold, run_range
+from tidelake.plans import jobs
+from tidelake.plans.jobs import Lake, clean_out_of_stock, clean_shop_table, land_shop, load_gold, load_gold_jdbc, run_range
+from tidelake.schemas import SHOP_SCHEMAS
 from tidelake.sinks import create_star_schema
 from tidelake.sources import date_range, read_silver
 
@@ -100,3 +102,47 @@ def test_failures_are_raised(spark, lakes):
         clean_shop_table(spark, lake, "unheard_of", DAYS[0])
     with pytest.raises(KeyError):
         load_gold(spark, lake, "unheard_of", DAYS[0])
+
+
+def test_rows_of_another_day_fail_the_load(spark, lakes, tmp_path):
+    lake = lakes("stray")
+    clean_out_of_stock(spark, lake, DAYS[0], DAYS[1])
+    stray = [{"date": str(DAYS[0]), "product_id": 9}]
+    (tmp_path / "bronze" / "out_of_stock" / f"{DAYS[1]}.json").write_text(json.dumps(stray))
+    with pytest.raises(Exception, match="date not within 2021-01-02"):
+        clean_out_of_stock(spark, lake, DAYS[1])
+    assert read_silver(spark, lake.silver_path("out_of_stock")).count() == 4
+
+
+def test_landing_reads_what_the_database_lists(spark, lakes, monkeypatch):
+    lake = lakes("landed")
+    day = date(2021, 2, 1)
+    tables = {
+        "aisles": spark.createDataFrame([(1, 'a "b"\nc')], SHOP_SCHEMAS["aisles"]),
+        "orders": spark.createDataFrame([(1, 1, 1, 5, day), (1, 1, 1, None, day)], SHOP_SCHEMAS["orders"]),
+    }
+    listed = spark.createDataFrame([(name,) for name in tables], "table_name string")
+    monkeypatch.setattr(jobs, "list_tables", lambda *args: listed)
+    monkeypatch.setattr(jobs, "extract_table", lambda _spark, _url, name, *rest: tables[name.split(".")[1]])
+    assert land_shop(spark, lake, "jdbc:x", {}, day) == ["aisles", "orders"]
+    for name, expected in tables.items():
+        clean_shop_table(spark, lake, name, day)
+        assert rows(read_silver(spark, lake.silver_path(name)).select(expected.columns)) == rows(expected)
+
+
+def test_gold_over_jdbc_appends_facts_and_replaces_dimensions(spark, lakes, monkeypatch):
+    lake = lakes("jdbc")
+    run_range(spark, lake, DAYS[0])
+    written = {}
+    monkeypatch.setattr(
+        jobs, "write_jdbc", lambda df, url, table, properties, mode: written.update({table: (mode, df.count())})
+    )
+    for table in GOLD:
+        load_gold_jdbc(spark, lake, "jdbc:x", {}, table, DAYS[0], schema="dw")
+    assert written == {
+        "dw.orders": ("append", 2),
+        "dw.out_of_stock": ("append", 2),
+        "dw.dim_clients": ("overwrite", 1),
+        "dw.dim_products": ("overwrite", 2),
+        "dw.dim_stores": ("overwrite", 1),
+    }

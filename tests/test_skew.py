@@ -108,6 +108,11 @@ def test_small_lookup_is_left_to_catalyst(facts, lookup, physical_plan):
     assert "_salt" not in plan
 
 
+def test_a_source_of_unknown_size_is_not_read_twice(facts, lookup, always_salted, physical_plan, monkeypatch):
+    monkeypatch.setattr(skew, "UNKNOWN_BYTES", 1)
+    assert "_salt" not in physical_plan(lookup_join(facts, lookup, "k"))
+
+
 def test_unknown_join_type(facts, lookup):
     with pytest.raises(ValueError):
         lookup_join(facts, lookup, "k", "full")

@@ -37,13 +37,16 @@ def roll_up(
     A key linked to several targets counts for each of them; a key without a
     link drops out. ``carry`` are further columns of ``measures`` to keep apart.
     Several rows may share a target: the next step, or a last ``totals``, adds them.
-    ``to_one`` promises one target per key. Then nothing multiplies, and links small
-    enough to be broadcast are joined as they are, which saves the shuffle by ``on``.
+    ``to_one`` promises one target per key. Then no key is hot among the links, and
+    links small enough to be broadcast are joined to the measures as they are, which
+    saves the shuffle by ``on``.
     """
     to, values, carry = _names(to), _names(values), _names(carry)
     targets = links.select(on, *[c for c in to if c != on])
     if to_one and estimated_bytes(targets) <= broadcast_limit(links.sparkSession):
         linked = measures.join(targets, on)
+    elif to_one:
+        linked = targets.join(totals(measures, [on, *carry], values), on)
     else:
         linked = lookup_join(targets, totals(measures, [on, *carry], values), on)
     return linked.select(*to, *carry, *values)

@@ -25,6 +25,10 @@ MIN_HOT_SHARE = 1 / 512
 # Facts of at most this size fit one task, whatever their keys; it is also the size from
 # which adaptive execution calls a partition skewed.
 ONE_TASK_BYTES = 256 * 1024 * 1024
+# An estimate from here on (a petabyte) stands for no estimate: Catalyst gives a source
+# that does not know its size, such as a JDBC table, 2**63 - 1 bytes, less what a
+# projection saves, and gives a join the product of its sides.
+UNKNOWN_BYTES = 2**50
 # Sketches are merged in this many groups before the last merge.
 SKETCH_GROUPS = 64
 
@@ -123,7 +127,10 @@ def _salted_join(
 
 def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, source: DataFrame) -> bool:
     limit = broadcast_limit(facts.sparkSession)
-    if estimated_bytes(lookup) <= limit or estimated_bytes(source) <= ONE_TASK_BYTES:
+    if estimated_bytes(lookup) <= limit:
+        return False
+    # What has no known size may be costly to read twice; its skew is left to adaptive execution.
+    if not ONE_TASK_BYTES < estimated_bytes(source) < UNKNOWN_BYTES:
         return False
     if how == "inner" and estimated_bytes(facts) <= limit:
         return False

@@ -1,4 +1,4 @@
-"""Daily and ranged loads from bronze over silver to gold.
+"""Daily and ranged loads from the shop database over bronze and silver to gold.
 
 A range of days is one Spark job per table and layer, not one per day. Every job
 can be run again: it replaces the days, or the snapshot, that it writes.
@@ -6,17 +6,20 @@ can be run again: it replaces the days, or the snapshot, that it writes.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Observation, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidelake.operators.quality import clean
 from tidelake.plans import star
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WRITE_POLICIES, WritePolicy, write_policy
-from tidelake.sinks.files import write_table
+from tidelake.sinks.files import write_csv, write_table
+from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
 from tidelake.sources.files import bronze_path, bronze_paths, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources.jdbc import extract_table, list_tables
 
 
 @dataclass(frozen=True)
@@ -34,6 +37,49 @@ class Lake:
         return f"{self.silver.rstrip('/')}/{folder}"
 
 
+def land_shop_table(
+    spark: SparkSession,
+    lake: Lake,
+    url: str,
+    properties: Mapping[str, str],
+    table: str,
+    day: date,
+    schema: str = "public",
+    **read_options,
+) -> None:
+    """One table of the database to bronze CSV: the day's orders, other tables whole.
+
+    ``read_options`` split the read over tasks, each of which lands a file.
+    """
+    rows = extract_table(spark, url, f"{schema}.{table}", day, properties, **read_options)
+    write_csv(rows, bronze_path(lake.bronze, f"{lake.source}/{table}", day, "csv"))
+
+
+def land_shop(
+    spark: SparkSession,
+    lake: Lake,
+    url: str,
+    properties: Mapping[str, str],
+    day: date,
+    schema: str = "public",
+    read_options: Mapping[str, dict] | None = None,
+) -> list[str]:
+    """Every table the database lists to bronze CSV; returns their names."""
+    names = [row[0] for row in list_tables(spark, url, properties, schema).collect()]
+    for name in names:
+        options = (read_options or {}).get(name, {})
+        land_shop_table(spark, lake, url, properties, name, day, schema, **options)
+    return names
+
+
+def _only_days(rows: DataFrame, column: str, start: date, end: date) -> DataFrame:
+    """A row of another day fails the write, as it would replace that day's partition."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    error = F.raise_error(F.concat(F.lit(f"{column} not within {start} to {end}: "), text))
+    inside = F.col(column).between(F.lit(start), F.lit(end))
+    return rows.withColumn(column, F.when(inside, F.col(column)).otherwise(error.cast("date")))
+
+
 def clean_shop_table(
     spark: SparkSession,
     lake: Lake,
@@ -52,11 +98,12 @@ def clean_shop_table(
     policy = write_policy(table, policies)
     source, last = f"{lake.source}/{table}", end or start
     if policy.mode == "overwrite":
-        paths = [bronze_path(lake.bronze, source, last, "csv")]
-    else:
-        paths = bronze_paths(lake.bronze, source, start, last, "csv")
-    rows = read_bronze_csv(spark, paths, schemas[table], multiline)
-    write_table(clean(rows, dedupe=dedupe), lake.silver_path(table), policy, gather=last > start)
+        start = last
+    paths = bronze_paths(lake.bronze, source, start, last, "csv")
+    rows = clean(read_bronze_csv(spark, paths, schemas[table], multiline), dedupe=dedupe)
+    if policy.partition_by:
+        rows = _only_days(rows, policy.partition_by, start, last)
+    write_table(rows, lake.silver_path(table), policy, gather=last > start)
 
 
 def clean_out_of_stock(
@@ -73,31 +120,53 @@ def clean_out_of_stock(
     counts = Observation()
     rows = clean(read_bronze_json(spark, paths, schema), ["date", "product_id"], observation=counts)
     policy = write_policy("out_of_stock", policies)
+    rows = _only_days(rows, policy.partition_by, start, last)
     write_table(rows, lake.silver_path("out_of_stock"), policy, gather=last > start)
     return counts.get
 
 
-def load_gold(spark: SparkSession, lake: Lake, table: str, start: date, end: date | None = None) -> None:
-    """One gold table from silver: the days of a fact, the whole of a dimension."""
+GOLD_FACTS = ("orders", "out_of_stock")
+GOLD_DIMENSIONS = ("dim_clients", "dim_products", "dim_stores")
 
-    def silver(name: str):
+
+def gold_rows(spark: SparkSession, lake: Lake, table: str, start: date, end: date | None = None) -> DataFrame:
+    """Rows of one gold table from silver: the days of a fact, the whole of a dimension."""
+
+    def silver(name: str) -> DataFrame:
         return read_silver(spark, lake.silver_path(name))
 
-    facts = {
-        "orders": lambda: star.fact_orders(silver("orders"), start, end),
-        "out_of_stock": lambda: star.fact_out_of_stock(silver("out_of_stock"), start, end),
-    }
-    dimensions = {
-        "dim_clients": lambda: star.dim_clients(silver("clients"), silver("location_areas")),
-        "dim_products": lambda: star.dim_products(silver("products"), silver("departments"), silver("aisles")),
-        "dim_stores": lambda: star.dim_stores(silver("stores"), silver("store_types"), silver("location_areas")),
-    }
-    if table in facts:
-        load_fact(facts[table](), lake.gold_database, table)
-    elif table in dimensions:
-        load_dimension(dimensions[table](), lake.gold_database, table)
-    else:
-        raise KeyError(f"no load for gold table {table!r}")
+    if table == "orders":
+        return star.fact_orders(silver("orders"), start, end)
+    if table == "out_of_stock":
+        return star.fact_out_of_stock(silver("out_of_stock"), start, end)
+    if table == "dim_clients":
+        return star.dim_clients(silver("clients"), silver("location_areas"))
+    if table == "dim_products":
+        return star.dim_products(silver("products"), silver("departments"), silver("aisles"))
+    if table == "dim_stores":
+        return star.dim_stores(silver("stores"), silver("store_types"), silver("location_areas"))
+    raise KeyError(f"no load for gold table {table!r}")
+
+
+def load_gold(spark: SparkSession, lake: Lake, table: str, start: date, end: date | None = None) -> None:
+    """One gold table into the Spark warehouse."""
+    load = load_fact if table in GOLD_FACTS else load_dimension
+    load(gold_rows(spark, lake, table, start, end), lake.gold_database, table)
+
+
+def load_gold_jdbc(
+    spark: SparkSession,
+    lake: Lake,
+    url: str,
+    properties: Mapping[str, str],
+    table: str,
+    start: date,
+    end: date | None = None,
+    schema: str = "public",
+) -> None:
+    """One gold table into a JDBC warehouse: facts are appended, dimensions replaced."""
+    mode = "append" if table in GOLD_FACTS else "overwrite"
+    write_jdbc(gold_rows(spark, lake, table, start, end), url, f"{schema}.{table}", properties, mode)
 
 
 def run_range(spark: SparkSession, lake: Lake, start: date, end: date | None = None) -> dict[str, int]:
@@ -108,6 +177,6 @@ def run_range(spark: SparkSession, lake: Lake, start: date, end: date | None = N
     for table in SHOP_SCHEMAS:
         clean_shop_table(spark, lake, table, start, end)
     counts = clean_out_of_stock(spark, lake, start, end)
-    for table in ("orders", "out_of_stock", "dim_clients", "dim_products", "dim_stores"):
+    for table in GOLD_FACTS + GOLD_DIMENSIONS:
         load_gold(spark, lake, table, start, end)
     return counts
