@@ -25,7 +25,7 @@ from tidelake.operators import (
 )
 from tidelake.plans import rental, star
 from tidelake.schemas import WritePolicy, write_policy
-from tidelake.session import scratch_dir
+from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
 from tidelake.sources import day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed
@@ -129,7 +129,7 @@ def dense_rank_top3_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = rental.top_actors_in_category(
         _renamed(_table(spark, sf_dir, "lineitem"), film_id="l_partkey", actor_id="l_suppkey"),
         _renamed(part, film_id="p_partkey", category_id="p_type"),
-        _renamed(part, category_id="p_type", name="p_type").distinct(),
+        staged(_renamed(part, category_id="p_type", name="p_type").distinct(), "category"),
         _suppliers_as_actors(spark, sf_dir),
         name="ECONOMY",
     )
@@ -311,7 +311,7 @@ def gold_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _renamed(part, product_id="p_partkey", product_name="p_name", department_id="p_type", aisle_id="p_brand")
     departments = _renamed(part.filter("p_type <> 'SMALL'"), department_id="p_type", department="p_type").distinct()
     aisles = _renamed(part, aisle_id="p_brand", aisle="p_brand").distinct()
-    return star.dim_products(products, departments, aisles)
+    return star.dim_products(products, staged(departments, "departments"), staged(aisles, "aisles"))
 
 
 def gold_dim_stores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Session for local runs, and the shared folder for written intermediates."""
+"""Session for local runs, and written intermediates in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "tidelake") -> SparkSession:
@@ -35,3 +35,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidelake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Its lineage ends there, and Catalyst knows its true size: a small table that is
+    grouped out of a large one is then broadcast, where its estimate would forbid it.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

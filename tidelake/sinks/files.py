@@ -20,19 +20,28 @@ def write_json(df: DataFrame, path: str, wrapped: bool = False) -> None:
     df.select(F.to_json(content, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
+def gathered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with equal ``columns`` in few tasks, large groups still in many.
+
+    Adaptive execution splits what is large; without it a shuffle would put a group
+    in one task whatever its size, so rows stay where they are and make more files.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *columns)
+
+
 def write_table(df: DataFrame, path: str, policy: WritePolicy, gather: bool = True) -> None:
     """Write ``df`` as Parquet by ``policy``.
 
-    Rows are brought together by partition value to get few files per partition;
-    as a rebalance, not a repartition, so that a partition with a large share
-    of the rows is still written by many tasks. ``gather=False`` saves that shuffle
-    for rows of a single partition. An appended day without rows leaves its
-    partition as it was.
+    Rows are gathered by partition value to get few files per partition; ``gather=False``
+    saves that shuffle for rows of a single partition. An appended day without rows
+    leaves its partition as it was.
     """
     writer = df.write
     if policy.partition_by:
         overwrite = "dynamic" if policy.mode == "append" else "static"
-        rows = df.hint("rebalance", policy.partition_by) if gather else df
+        rows = gathered(df, policy.partition_by) if gather else df
         writer = rows.write.partitionBy(policy.partition_by).option("partitionOverwriteMode", overwrite)
     elif policy.mode == "append":
         writer.mode("append").parquet(path)

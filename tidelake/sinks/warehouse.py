@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidelake.operators.quality import check_unique_key
 from tidelake.schemas import STAR_SCHEMA, StarTable
+from tidelake.sinks.files import gathered
 
 BUCKET_COUNT_PROPERTY = "star.buckets"
 
@@ -105,14 +106,10 @@ def load_fact(df: DataFrame, database: str, name: str, tables: dict[str, StarTab
     target = f"{database}.{name}"
     properties = spark.sql(f"SHOW TBLPROPERTIES {target} ('{BUCKET_COUNT_PROPERTY}')")
     buckets = int(properties.first()["value"])
-    # Rows of a day and bucket meet in one task and so in one file, unless there are
-    # so many that the rebalance splits them.
+    # Rows of a day and bucket meet in one task and so in one file, unless they are many.
     columns = rows.columns
-    placed = (
-        rows.withColumn("_bucket", F.pmod(F.hash(table.bucket_by), F.lit(buckets)))
-        .hint("rebalance", table.partition_by, "_bucket")
-        .select(*columns)
-    )
+    placed = rows.withColumn("_bucket", F.pmod(F.hash(table.bucket_by), F.lit(buckets)))
+    placed = gathered(placed, table.partition_by, "_bucket").select(*columns)
     placed.write.insertInto(target, overwrite=True)
 
 

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.operators.quality import clean
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA
+from tidelake.sinks.files import gathered
 from tidelake.sources.files import day_slice
 
 
 def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by: str) -> None:
-    """Append to the table at ``path`` the distinct rows it does not hold yet.
+    """Append to the table at ``path`` the distinct rows, free of nulls, it does not hold yet.
 
     Of the table only the partitions from the first to the last day in ``rows`` are
     read, and none is rewritten, so a late file for a large day costs a read of that
@@ -33,12 +34,7 @@ def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by:
         else:
             touched = day_slice(present, partition_by, first, last)
             fresh = rows.join(touched, schema.fieldNames(), "left_anti")
-        (
-            fresh.hint("rebalance", partition_by)
-            .write.partitionBy(partition_by)
-            .mode("append")
-            .parquet(path)
-        )
+        gathered(fresh, partition_by).write.partitionBy(partition_by).mode("append").parquet(path)
     finally:
         rows.unpersist()
 
@@ -49,20 +45,19 @@ def ingest_feed(
     path: str,
     checkpoint: str,
     schema: T.StructType = OUT_OF_STOCK_SCHEMA,
-    max_files_per_batch: int = 1000,
+    max_files_per_batch: int | None = None,
 ) -> None:
     """Read every file landed since the last call and add its rows to silver.
 
+    All new files are one batch unless ``max_files_per_batch`` cuts a backlog into several.
     Rows are made distinct inside a batch and against the table, not by streaming
     state, which would grow for ever. A file rewritten in place is not read again;
     the batch job for its day corrects it.
     """
-    landed = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .option("pathGlobFilter", "*.{json,txt}")
-        .json(landing)
-    )
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.{json,txt}")
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    landed = reader.json(landing)
 
     def add_batch(batch: DataFrame, _batch_id: int) -> None:
         add_new_rows(clean(batch, schema.fieldNames(), dedupe=False), path, schema, "date")
