@@ -24,10 +24,11 @@ from tidelake.operators import (
     totals,
 )
 from tidelake.plans import rental, star
+from tidelake.plans.jobs import Lake, clean_out_of_stock, gold_rows
 from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
-from tidelake.sources import day_slice, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources import DAY_FOLDERS, day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed
 
 FEED_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("product_id", T.LongType())])
@@ -390,6 +391,18 @@ def orders_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact_orders(read_silver(spark, f"{root}/silver", orders.schema))
 
 
+def backfill_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of the feed landed in its folder, then loaded as one range, its first day a second time."""
+    root = scratch_dir(spark, "backfill")
+    lake = Lake(f"{root}/bronze", f"{root}/silver", "none", bronze_layout=DAY_FOLDERS)
+    feed = _feed(spark, sf_dir)
+    write_json(feed, f"{lake.bronze}/{lake.feed}", day_column="date")
+    first, last = feed.agg(F.min("date"), F.max("date")).first()
+    clean_out_of_stock(spark, lake, first, last, FEED_SCHEMA)
+    clean_out_of_stock(spark, lake, first, schema=FEED_SCHEMA)
+    return gold_rows(spark, lake, "out_of_stock", first, last)
+
+
 def warehouse_out_of_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed loaded into the star schema, its later days a second time."""
     root, database = _new_warehouse(spark)
@@ -503,6 +516,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_wrapped_json_round_trip": bronze_wrapped_json_round_trip,
         "feed_csv_landing": feed_csv_landing,
         "orders_bronze_to_gold": orders_bronze_to_gold,
+        "backfill_feed": backfill_feed,
         "warehouse_out_of_stock": warehouse_out_of_stock,
         "warehouse_dim_products": warehouse_dim_products,
         "silver_append_twice": silver_append_twice,
@@ -685,6 +699,7 @@ def oracle_sql() -> dict[str, str]:
                        l_partkey AS product_id, l_suppkey AS store_id, CAST(l_quantity AS BIGINT) AS quantity
                 FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS o
             GROUP BY ALL""",
+        "backfill_feed": _CLEAN_FEED_SQL,
         "warehouse_out_of_stock": f"""
             SELECT date, CAST(product_id AS INTEGER) AS product_id FROM ({_CLEAN_FEED_SQL})""",
         "warehouse_dim_products": """

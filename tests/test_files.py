@@ -9,7 +9,7 @@ from conftest import rows
 from tidelake.operators import clean
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WritePolicy, write_policy
 from tidelake.sinks import write_csv, write_json, write_table
-from tidelake.sources import bronze_path, day_slice, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources import DAY_FOLDERS, bronze_path, bronze_paths, day_slice, read_bronze_csv, read_bronze_json, read_silver
 
 
 def landed(tmp_path, name, text):
@@ -82,6 +82,17 @@ def test_json_round_trip(spark, tmp_path, wrapped):
     assert rows(read_bronze_json(spark, str(tmp_path / "out"), OUT_OF_STOCK_SCHEMA, wrapped)) == rows(df)
 
 
+@pytest.mark.parametrize("extension", ["csv", "json"])
+def test_many_days_land_in_their_folders(spark, tmp_path, extension):
+    df = spark.createDataFrame([(date(2021, 1, d), p) for d in (1, 2, 3) for p in range(d)], OUT_OF_STOCK_SCHEMA)
+    write, read = {"csv": (write_csv, read_bronze_csv), "json": (write_json, read_bronze_json)}[extension]
+    write(df, str(tmp_path / "feed"), day_column="date")
+    write(df.filter("date = '2021-01-02'"), str(tmp_path / "feed"), day_column="date")
+    paths = bronze_paths(str(tmp_path), "feed", date(2021, 1, 2), date(2021, 1, 3), extension, DAY_FOLDERS)
+    assert rows(read(spark, paths, OUT_OF_STOCK_SCHEMA)) == rows(df.filter("date > '2021-01-01'"))
+    assert len(list((tmp_path / "feed").glob("as_of_date=*"))) == 3
+
+
 def orders_of(spark, *days):
     data = [(n, n, 1, n, date(2021, 1, day)) for day in days for n in range(day * 2)]
     return spark.createDataFrame(data, SHOP_SCHEMAS["orders"])

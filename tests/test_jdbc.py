@@ -12,13 +12,36 @@ from tidelake.sources import jdbc
 URL, USER = "jdbc:postgresql://host/db", {"user": "u"}
 
 
-def test_partitioned_read_asks_for_bounds():
+def asked(spark):
+    return spark.read.format.return_value.options.call_args.kwargs
+
+
+def answering(row):
+    spark = MagicMock()
+    spark.read.format.return_value.options.return_value.load.return_value.first.return_value = row
+    return spark
+
+
+@pytest.mark.parametrize("low, high", [(1, 900), (date(2021, 1, 1), date(2021, 12, 31))])
+def test_partitioned_read_asks_for_bounds(low, high):
+    spark = answering((low, high))
+    read_table(spark, URL, "rental", USER, partition_column="k", num_partitions=32)
+    queries = [call.kwargs.get("query") for call in spark.read.format.return_value.options.call_args_list]
+    assert queries[0] == "SELECT MIN(k) AS lo, MAX(k) AS hi FROM rental"
+    assert asked(spark) == {
+        "url": URL, "user": "u", "dbtable": "rental", "fetchsize": 10_000,
+        "partitionColumn": "k", "lowerBound": str(low), "upperBound": str(high), "numPartitions": 32,
+    }
+
+
+def test_given_bounds_and_an_empty_table():
     spark = MagicMock()
-    spark.read.format().options().load().first.return_value = (1, 900)
-    read_table(spark, URL, "rental", USER, partition_column="rental_id", num_partitions=32)
-    _, kwargs = spark.read.jdbc.call_args
-    assert (kwargs["lowerBound"], kwargs["upperBound"], kwargs["numPartitions"]) == (1, 900, 32)
-    assert kwargs["properties"]["fetchsize"] == "10000"
+    read_table(spark, URL, "rental", USER, partition_column="k", num_partitions=4, bounds=(0, 8))
+    assert spark.read.format.return_value.options.call_count == 1
+    assert asked(spark)["upperBound"] == "8"
+    empty = answering((None, None))
+    read_table(empty, URL, "rental", USER, partition_column="k", num_partitions=4)
+    assert "partitionColumn" not in asked(empty)
 
 
 def test_predicates_and_plain_read():
@@ -26,13 +49,13 @@ def test_predicates_and_plain_read():
     read_table(spark, URL, "rental", USER, predicates=["a = 1", "a <> 1"])
     assert spark.read.jdbc.call_args.kwargs["predicates"] == ["a = 1", "a <> 1"]
     read_table(spark, URL, "rental", USER)
-    assert "column" not in spark.read.jdbc.call_args.kwargs
+    assert asked(spark) == {"url": URL, "user": "u", "dbtable": "rental", "fetchsize": 10_000}
 
 
 def test_list_tables_quotes_the_schema():
     spark = MagicMock()
     list_tables(spark, URL, USER, schema="o'x")
-    assert "table_schema = 'o''x'" in spark.read.format().options.call_args.kwargs["query"]
+    assert "table_schema = 'o''x'" in asked(spark)["query"]
 
 
 def test_extract_slices_only_listed_tables(spark, monkeypatch):

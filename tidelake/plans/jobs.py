@@ -18,7 +18,7 @@ from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WRITE_POLICIES,
 from tidelake.sinks.files import write_csv, write_table
 from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
-from tidelake.sources.files import bronze_path, bronze_paths, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources.files import DAY_FILES, bronze_paths, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.sources.jdbc import extract_table, list_tables
 
 
@@ -31,6 +31,10 @@ class Lake:
     gold_database: str
     source: str = "shop"
     feed: str = "out_of_stock"
+    bronze_layout: str = DAY_FILES
+
+    def bronze_paths(self, source: str, start: date, end: date, extension: str) -> list[str]:
+        return bronze_paths(self.bronze, source, start, end, extension, self.bronze_layout)
 
     def silver_path(self, table: str) -> str:
         folder = self.feed if table == "out_of_stock" else f"{self.source}/{table}"
@@ -52,7 +56,8 @@ def land_shop_table(
     ``read_options`` split the read over tasks, each of which lands a file.
     """
     rows = extract_table(spark, url, f"{schema}.{table}", day, properties, **read_options)
-    write_csv(rows, bronze_path(lake.bronze, f"{lake.source}/{table}", day, "csv"))
+    [path] = lake.bronze_paths(f"{lake.source}/{table}", day, day, "csv")
+    write_csv(rows, path)
 
 
 def land_shop(
@@ -99,7 +104,7 @@ def clean_shop_table(
     source, last = f"{lake.source}/{table}", end or start
     if policy.mode == "overwrite":
         start = last
-    paths = bronze_paths(lake.bronze, source, start, last, "csv")
+    paths = lake.bronze_paths(source, start, last, "csv")
     rows = clean(read_bronze_csv(spark, paths, schemas[table], multiline), dedupe=dedupe)
     if policy.partition_by:
         rows = _only_days(rows, policy.partition_by, start, last)
@@ -116,7 +121,7 @@ def clean_out_of_stock(
 ) -> dict[str, int]:
     """Bronze JSON of the feed to silver; returns how many rows were read and dropped for nulls."""
     last = end or start
-    paths = bronze_paths(lake.bronze, lake.feed, start, last, "json")
+    paths = lake.bronze_paths(lake.feed, start, last, "json")
     counts = Observation()
     rows = clean(read_bronze_json(spark, paths, schema), ["date", "product_id"], observation=counts)
     policy = write_policy("out_of_stock", policies)

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from tidelake.schemas import WritePolicy
 from tidelake.sources.files import CSV_DIALECT
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Replace ``path`` by CSV files with a header, quotes doubled inside quoted fields."""
-    df.write.mode("overwrite").options(**CSV_DIALECT).csv(path)
-
-
-def write_json(df: DataFrame, path: str, wrapped: bool = False) -> None:
-    """Replace ``path`` by JSON text: an array of objects per line, ``wrapped`` as ``{"data": [...]}``."""
-    array = F.array(F.struct(*df.columns))
-    content = F.struct(array.alias("data")) if wrapped else array
-    df.select(F.to_json(content, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
-
-
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows with equal ``columns`` in few tasks, large groups still in many.
 
@@ -31,6 +19,35 @@ def gathered(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def _landing(df: DataFrame) -> DataFrameWriter:
+    """Replaces the whole path, or the days that occur if rows have an ``as_of_date``."""
+    if "as_of_date" not in df.columns:
+        return df.write.mode("overwrite")
+    writer = gathered(df, "as_of_date").write.partitionBy("as_of_date")
+    return writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+
+
+def write_csv(df: DataFrame, path: str, day_column: str | None = None) -> None:
+    """Replace ``path`` by CSV files with a header, quotes doubled inside quoted fields.
+
+    With ``day_column`` one job lands many days, each in its own folder.
+    """
+    if day_column:
+        df = df.withColumn("as_of_date", F.col(day_column))
+    _landing(df).options(**CSV_DIALECT).csv(path)
+
+
+def write_json(df: DataFrame, path: str, wrapped: bool = False, day_column: str | None = None) -> None:
+    """Replace ``path`` by JSON text: an array of objects per line, ``wrapped`` as ``{"data": [...]}``.
+
+    With ``day_column`` one job lands many days, each in its own folder.
+    """
+    array = F.array(F.struct(*df.columns))
+    content = F.struct(array.alias("data")) if wrapped else array
+    days = [F.col(day_column).alias("as_of_date")] if day_column else []
+    _landing(df.select(F.to_json(content, {"ignoreNullFields": "false"}).alias("value"), *days)).text(path)
+
+
 def write_table(df: DataFrame, path: str, policy: WritePolicy, gather: bool = True) -> None:
     """Write ``df`` as Parquet by ``policy``.
 

@@ -1,6 +1,8 @@
 """Readers: bronze and silver files, and relational tables."""
 
 from tidelake.sources.files import (
+    DAY_FILES,
+    DAY_FOLDERS,
     bronze_path,
     bronze_paths,
     date_range,
@@ -12,6 +14,8 @@ from tidelake.sources.files import (
 from tidelake.sources.jdbc import extract_table, jdbc_bounds, list_tables, read_table
 
 __all__ = [
+    "DAY_FILES",
+    "DAY_FOLDERS",
     "bronze_path",
     "bronze_paths",
     "date_range",

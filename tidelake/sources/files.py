@@ -16,13 +16,21 @@ def date_range(start: date, end: date) -> list[date]:
     return [start + timedelta(days=n) for n in range((end - start).days + 1)]
 
 
-def bronze_path(root: str, source: str, day: date, extension: str) -> str:
+# Where a day's landing lies below its source: one file or folder named after the day,
+# or, where one job lands many days, a folder per value of a partition column.
+DAY_FILES = "{day}.{extension}"
+DAY_FOLDERS = "as_of_date={day}"
+
+
+def bronze_path(root: str, source: str, day: date, extension: str, layout: str = DAY_FILES) -> str:
     """Where the landing of ``source`` (``<db>/<table>`` or a feed) for one day lies."""
-    return f"{root.rstrip('/')}/{source}/{day.isoformat()}.{extension}"
+    return f"{root.rstrip('/')}/{source}/{layout.format(day=day.isoformat(), extension=extension)}"
 
 
-def bronze_paths(root: str, source: str, start: date, end: date, extension: str) -> list[str]:
-    return [bronze_path(root, source, day, extension) for day in date_range(start, end)]
+def bronze_paths(
+    root: str, source: str, start: date, end: date, extension: str, layout: str = DAY_FILES
+) -> list[str]:
+    return [bronze_path(root, source, day, extension, layout) for day in date_range(start, end)]
 
 
 def read_bronze_csv(

@@ -13,11 +13,17 @@ from tidelake.sources.files import day_slice
 SLICED_BY_DAY = {"orders": "order_date"}
 
 
-def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, properties: Mapping) -> tuple:
-    """Lowest and highest value of ``column``, computed by the database; (0, 0) if empty."""
+def _jdbc(spark: SparkSession, url: str, properties: Mapping[str, str], **options) -> DataFrame:
+    return spark.read.format("jdbc").options(url=url, **options, **properties).load()
+
+
+def jdbc_bounds(
+    spark: SparkSession, url: str, table: str, column: str, properties: Mapping[str, str]
+) -> tuple[str, str] | None:
+    """Lowest and highest value of ``column``, computed by the database; nothing if there is none."""
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
-    row = spark.read.format("jdbc").options(url=url, query=query, **properties).load().first()
-    return (0, 0) if row[0] is None else (row[0], row[1])
+    lowest, highest = _jdbc(spark, url, properties, query=query).first()
+    return None if lowest is None else (str(lowest), str(highest))
 
 
 def read_table(
@@ -33,33 +39,32 @@ def read_table(
 ) -> DataFrame:
     """A table, read by one task unless told how to split it.
 
-    Either a numeric or date ``partition_column`` is cut into ``num_partitions``
-    strides between ``bounds`` (asked from the database if not given), or, where its
-    values are unevenly spread, ``predicates`` lists one condition per task. Filters
-    and columns chosen later reach the database.
+    Either an integer, date or timestamp ``partition_column`` is cut into
+    ``num_partitions`` strides between ``bounds`` (asked from the database if not given),
+    or, where its values are unevenly spread, ``predicates`` lists one condition per
+    task. Filters and columns chosen later reach the database.
     """
-    options = {"fetchsize": str(fetch_size), **properties}
     if predicates is not None:
+        options = {"fetchsize": str(fetch_size), **properties}
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=options)
-    lower, upper = bounds or jdbc_bounds(spark, url, table, partition_column, properties)
-    return spark.read.jdbc(
-        url,
-        table,
-        column=partition_column,
-        lowerBound=lower,
-        upperBound=upper,
-        numPartitions=num_partitions,
-        properties=options,
-    )
+    options = {"dbtable": table, "fetchsize": fetch_size}
+    if partition_column is not None:
+        bounds = bounds or jdbc_bounds(spark, url, table, partition_column, properties)
+        if bounds is not None:
+            options |= {
+                "partitionColumn": partition_column,
+                "lowerBound": str(bounds[0]),
+                "upperBound": str(bounds[1]),
+                "numPartitions": num_partitions,
+            }
+    return _jdbc(spark, url, properties, **options)
 
 
 def list_tables(spark: SparkSession, url: str, properties: Mapping, schema: str = "public") -> DataFrame:
     """Names of all tables in one schema of the database."""
     name = schema.replace("'", "''")
     query = f"SELECT table_name FROM information_schema.tables WHERE table_schema = '{name}'"
-    return spark.read.format("jdbc").options(url=url, query=query, **properties).load()
+    return _jdbc(spark, url, properties, query=query)
 
 
 def extract_table(

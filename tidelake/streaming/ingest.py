@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.operators.quality import clean
@@ -19,21 +18,16 @@ def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by:
     day and a small append. Run again after a failure, it finds what was already added.
     """
     spark = rows.sparkSession
+    # Makes the table's folder the first time.
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(partition_by).parquet(path)
     # Read twice: for its days and for its rows.
     rows = rows.select(*schema.fieldNames()).dropDuplicates().persist()
     try:
         first, last = rows.agg(F.min(partition_by), F.max(partition_by)).first()
         if first is None:
             return
-        fresh = rows
-        try:
-            present = spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            touched = day_slice(present, partition_by, first, last)
-            fresh = rows.join(touched, schema.fieldNames(), "left_anti")
+        present = day_slice(spark.read.schema(schema).parquet(path), partition_by, first, last)
+        fresh = rows.join(present, schema.fieldNames(), "left_anti")
         gathered(fresh, partition_by).write.partitionBy(partition_by).mode("append").parquet(path)
     finally:
         rows.unpersist()
