@@ -10,7 +10,7 @@ from tidelake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tidelake-tests")
+    session = local_session(4, "tidelake-tests", task_attempts=3)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

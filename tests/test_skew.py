@@ -1,6 +1,7 @@
 """Salted joins give the rows of plain joins, and hot keys are found and bounded."""
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -81,6 +82,19 @@ def test_equal_rows_are_spread_too(spark, lookup, always_salted):
     assert salted.groupBy(F.spark_partition_id()).count().count() > 1
 
 
+def test_lost_tasks_change_nothing(facts, lookup, always_salted):
+    def lose_first_attempt(batches):
+        if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() % 2:
+            raise RuntimeError("executor lost")
+        yield from batches
+
+    shaky = facts.mapInPandas(lose_first_attempt, facts.schema)
+    salted = lookup_join(shaky, lookup, "k", "left", keys_from=facts)
+    plain = facts.join(lookup, "k", "left")
+    assert salted.count() == plain.count()
+    assert salted.exceptAll(plain).isEmpty()
+
+
 def test_two_key_columns(facts, lookup, always_salted, physical_plan):
     left = facts.withColumn("k2", F.col("k") % 2)
     right = lookup.withColumn("k2", F.col("k") % 2)

@@ -3,7 +3,7 @@ from datetime import date
 
 from conftest import rows
 from tidelake.sources import read_silver
-from tidelake.streaming import ingest_feed
+from tidelake.streaming import ingest, ingest_feed
 
 
 def land(folder, name, *items):
@@ -38,3 +38,13 @@ def test_a_file_of_nulls_changes_nothing(spark, tmp_path):
     land(landing, "b.json", (None, 1))
     ingest_feed(*args)
     assert rows(read_silver(spark, str(tmp_path / "silver"))) == [(1, date(2021, 1, 1))]
+
+
+def test_rows_of_very_many_days(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "MAX_LISTED_DAYS", 2)
+    landing = tmp_path / "in"
+    args = (spark, str(landing), str(tmp_path / "silver"))
+    land(landing, "a.json", *[(f"2021-01-0{d}", 1) for d in (1, 2, 3, 4)])
+    ingest_feed(*args, str(tmp_path / "checkpoint"))
+    ingest_feed(*args, str(tmp_path / "other"))
+    assert read_silver(spark, str(tmp_path / "silver")).count() == 4

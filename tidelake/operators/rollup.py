@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.operators.skew import broadcast_limit, estimated_bytes, lookup_join
+from tidelake.operators.skew import fits_broadcast, lookup_join
 
 
 def _names(columns: str | Sequence[str]) -> list[str]:
@@ -43,7 +43,7 @@ def roll_up(
     """
     to, values, carry = _names(to), _names(values), _names(carry)
     targets = links.select(on, *[c for c in to if c != on])
-    if to_one and estimated_bytes(targets) <= broadcast_limit(links.sparkSession):
+    if to_one and fits_broadcast(targets):
         linked = measures.join(targets, on)
     elif to_one:
         linked = targets.join(totals(measures, [on, *carry], values), on)

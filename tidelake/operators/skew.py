@@ -34,12 +34,21 @@ SKETCH_GROUPS = 64
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one it holds against the broadcast threshold."""
+    """Catalyst's size estimate, the one it holds against the broadcast threshold.
+
+    Spark Connect does not show it; a frame there has no known size.
+    """
+    if not hasattr(df, "_jdf"):
+        return UNKNOWN_BYTES
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst will broadcast ``df`` in a join, going by its estimate."""
+    if not hasattr(df, "_jdf"):
+        return False
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= limit
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -126,14 +135,11 @@ def _salted_join(
 
 
 def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, source: DataFrame) -> bool:
-    limit = broadcast_limit(facts.sparkSession)
-    if estimated_bytes(lookup) <= limit:
+    if fits_broadcast(lookup) or (how == "inner" and fits_broadcast(facts)):
         return False
     # What has no known size may be costly to read twice; its skew is left to adaptive execution.
     if not ONE_TASK_BYTES < estimated_bytes(source) < UNKNOWN_BYTES:
         return False
-    if how == "inner" and estimated_bytes(facts) <= limit:
-        return False
     # Keys of different types would hash differently on the two sides.
     return all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
 

@@ -8,10 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "tidelake") -> SparkSession:
+def local_session(cores: int | str = "*", app: str = "tidelake", task_attempts: int = 1) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(f"local[{cores},{task_attempts}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

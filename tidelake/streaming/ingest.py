@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidelake.operators.quality import clean
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA
 from tidelake.sinks.files import gathered
-from tidelake.sources.files import day_slice
+
+# Rows of more days than this are compared with the whole table.
+MAX_LISTED_DAYS = 1000
 
 
 def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by: str) -> None:
     """Append to the table at ``path`` the distinct rows, free of nulls, it does not hold yet.
 
-    Of the table only the partitions from the first to the last day in ``rows`` are
-    read, and none is rewritten, so a late file for a large day costs a read of that
-    day and a small append. Run again after a failure, it finds what was already added.
+    Of the table only the days in ``rows`` are read, and none is rewritten, so a late
+    file for a large day costs a read of that day and a small append. Run again after a
+    failure, it finds what was already added.
     """
     spark = rows.sparkSession
     # Makes the table's folder the first time.
@@ -23,10 +25,12 @@ def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by:
     # Read twice: for its days and for its rows.
     rows = rows.select(*schema.fieldNames()).dropDuplicates().persist()
     try:
-        first, last = rows.agg(F.min(partition_by), F.max(partition_by)).first()
-        if first is None:
+        days = [row[0] for row in rows.select(partition_by).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+        if not days:
             return
-        present = day_slice(spark.read.schema(schema).parquet(path), partition_by, first, last)
+        present = spark.read.schema(schema).parquet(path)
+        if len(days) <= MAX_LISTED_DAYS:
+            present = present.filter(F.col(partition_by).isin(days))
         fresh = rows.join(present, schema.fieldNames(), "left_anti")
         gathered(fresh, partition_by).write.partitionBy(partition_by).mode("append").parquet(path)
     finally:
