@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 TRACKED_KEYS = 1024
 # So a key below this share is never called hot, and there are at most 512 hot keys.
 MIN_HOT_SHARE = 1 / 512
-# Facts of at most this size fit one task, whatever their keys; it is also the size from
-# which adaptive execution calls a partition skewed.
-ONE_TASK_BYTES = 256 * 1024 * 1024
+# Facts whose files have at most this size fit one task, whatever their keys: read into
+# rows they are about the 256 MB from which adaptive execution calls a partition skewed.
+ONE_TASK_BYTES = 64 * 1024 * 1024
 # An estimate from here on (a petabyte) stands for no estimate: Catalyst gives a source
 # that does not know its size, such as a JDBC table, 2**63 - 1 bytes, less what a
 # projection saves, and gives a join the product of its sides.
