@@ -394,7 +394,7 @@ def orders_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day of the feed landed in its folder, then loaded as one range, its first day a second time."""
     root = scratch_dir(spark, "backfill")
-    lake = Lake(f"{root}/bronze", f"{root}/silver", "none", bronze_layout=DAY_FOLDERS)
+    lake = Lake(f"{root}/bronze", f"{root}/silver", bronze_layout=DAY_FOLDERS)
     feed = _feed(spark, sf_dir)
     write_json(feed, f"{lake.bronze}/{lake.feed}", day_column="date")
     first, last = feed.agg(F.min("date"), F.max("date")).first()

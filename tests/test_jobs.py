@@ -104,6 +104,14 @@ def test_failures_are_raised(spark, lakes):
         load_gold(spark, lake, "unheard_of", DAYS[0])
 
 
+def test_gold_does_not_follow_a_failed_silver(spark, lakes, tmp_path):
+    lake = lakes("stopped")
+    (tmp_path / "bronze" / "shop" / "aisles" / f"{DAYS[0]}.csv").unlink()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_range(spark, lake, DAYS[0])
+    assert all(not found for found in gold(spark, lake).values())
+
+
 def test_rows_of_another_day_fail_the_load(spark, lakes, tmp_path):
     lake = lakes("stray")
     clean_out_of_stock(spark, lake, DAYS[0], DAYS[1])

@@ -36,8 +36,8 @@ class WritePolicy:
     """How a day's rows enter a table.
 
     ``append`` with a partition column replaces only the partitions present in
-    the rows, so running a day twice changes nothing; ``overwrite`` replaces the
-    whole table.
+    the rows, so running a day twice changes nothing; without one it adds the rows
+    as they are. ``overwrite`` replaces the whole table.
     """
 
     mode: str
