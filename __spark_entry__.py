@@ -405,29 +405,34 @@ def backfill_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse_out_of_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed loaded into the star schema, its later days a second time."""
-    root, database = _new_warehouse(spark)
+    database = _new_warehouse(spark)
     facts = star.fact_out_of_stock(clean(_feed(spark, sf_dir), not_null=["date", "product_id"]))
     load_fact(facts, database, "out_of_stock")
     load_fact(day_slice(facts, "date", date(2024, 1, 15), date(2024, 1, 30)), database, "out_of_stock")
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return read_silver(spark, f"{root}/out_of_stock")
+    return _taken_from(spark, database, "out_of_stock")
 
 
 def warehouse_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product dimension loaded into the star schema twice."""
-    root, database = _new_warehouse(spark)
+    database = _new_warehouse(spark)
     for _ in range(2):
         load_dimension(gold_dim_products(spark, sf_dir), database, "dim_products")
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return read_silver(spark, f"{root}/dim_products")
+    return _taken_from(spark, database, "dim_products")
 
 
-def _new_warehouse(spark: SparkSession) -> tuple[str, str]:
-    """Folder and database of an empty star schema; dropping the database leaves the files."""
+def _new_warehouse(spark: SparkSession) -> str:
+    """A database of its own with an empty star schema."""
     root = scratch_dir(spark, "warehouse")
     database = root.rsplit("/", 1)[-1].replace("-", "_")
     create_star_schema(spark, database, root, buckets=8)
-    return root, database
+    return database
+
+
+def _taken_from(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """The rows of a table, staged so that its database can be dropped."""
+    rows = staged(spark.table(f"{database}.{table}"), table)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return rows
 
 
 def silver_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:

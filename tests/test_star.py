@@ -74,6 +74,15 @@ def test_fact_load_replaces_its_days(spark, warehouse):
     ]
 
 
+def test_a_new_schema_starts_empty(spark, warehouse):
+    schema = "id int, fullname string, area string"
+    load_dimension(spark.createDataFrame([(1, "a", "n")], schema), warehouse, "dim_clients")
+    load_fact(spark.createDataFrame([(DAY, 1)], "date date, product_id int"), warehouse, "out_of_stock")
+    create_star_schema(spark, warehouse, buckets=4)
+    assert spark.table(f"{warehouse}.dim_clients").isEmpty()
+    assert spark.table(f"{warehouse}.out_of_stock").isEmpty()
+
+
 def test_grouping_by_the_bucket_column_needs_no_shuffle(spark, warehouse, physical_plan):
     data = [(n, 1, n, n % 3, DAY) for n in range(20)]
     load_fact(spark.createDataFrame(data, "client_id int, quantity long, product_id int, store_id int, order_date date"), warehouse, "orders")

@@ -44,6 +44,13 @@ class Lake:
         return f"{self.silver.rstrip('/')}/{folder}"
 
 
+def _together(spark: SparkSession, jobs: list[Callable[[], object]], at_once: int) -> list:
+    """Results of independent jobs, submitted side by side so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def land_shop_table(
     spark: SparkSession,
     lake: Lake,
@@ -71,12 +78,13 @@ def land_shop(
     day: date,
     schema: str = "public",
     read_options: Mapping[str, dict] | None = None,
+    at_once: int = 4,
 ) -> list[str]:
     """Every table the database lists to bronze CSV; returns their names."""
     names = [row[0] for row in list_tables(spark, url, properties, schema).collect()]
-    for name in names:
-        options = (read_options or {}).get(name, {})
-        land_shop_table(spark, lake, url, properties, name, day, schema, **options)
+    options = {name: (read_options or {}).get(name, {}) for name in names}
+    land = partial(land_shop_table, spark, lake, url, properties)
+    _together(spark, [partial(land, name, day, schema, **options[name]) for name in names], at_once)
     return names
 
 
@@ -177,13 +185,6 @@ def load_gold_jdbc(
     write_jdbc(gold_rows(spark, lake, table, start, end), url, f"{schema}.{table}", properties, mode)
 
 
-def _together(spark: SparkSession, jobs: list[Callable[[], object]], at_once: int) -> list:
-    """Results of independent jobs, submitted side by side so that small ones do not leave the cluster idle."""
-    with ThreadPoolExecutor(at_once) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    return [job.result() for job in running]
-
-
 def run_range(
     spark: SparkSession, lake: Lake, start: date, end: date | None = None, at_once: int = 4
 ) -> dict[str, int]:

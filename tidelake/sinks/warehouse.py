@@ -11,7 +11,7 @@ from tidelake.sinks.files import gathered
 BUCKET_COUNT_PROPERTY = "star.buckets"
 
 
-def _table_ddl(name: str, table: StarTable, location: str | None, buckets: int) -> str:
+def _table_ddl(name: str, table: StarTable, buckets: int) -> str:
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in table.columns
     )
@@ -26,8 +26,6 @@ def _table_ddl(name: str, table: StarTable, location: str | None, buckets: int)
     if table.bucket_by:
         ddl += f" CLUSTERED BY (`{table.bucket_by}`) INTO {buckets} BUCKETS"
         ddl += f" TBLPROPERTIES ('{BUCKET_COUNT_PROPERTY}' = '{buckets}')"
-    if location:
-        ddl += f" LOCATION '{location}'"
     return ddl
 
 
@@ -38,17 +36,17 @@ def create_star_schema(
     buckets: int = 64,
     tables: dict[str, StarTable] = STAR_SCHEMA,
 ) -> None:
-    """Drop and create the gold tables.
+    """Drop the gold tables with their rows, and create them.
 
-    Facts are partitioned by date and bucketed by the column they are mostly
+    A new database keeps its tables at ``location``, or in the session's warehouse. Facts are partitioned by date and bucketed by the column they are mostly
     grouped by, which then needs no shuffle. Text columns keep their VARCHAR length,
     which Spark enforces on write.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, table in tables.items():
+        # Managed tables, as dropping one that only points to its files would leave the rows there.
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        path = f"{location.rstrip('/')}/{name}" if location else None
-        spark.sql(_table_ddl(f"{database}.{name}", table, path, buckets))
+        spark.sql(_table_ddl(f"{database}.{name}", table, buckets))
 
 
 def find_violations(df: DataFrame, table: StarTable) -> DataFrame:
