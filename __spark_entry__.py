@@ -409,7 +409,7 @@ def warehouse_out_of_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = star.fact_out_of_stock(clean(_feed(spark, sf_dir), not_null=["date", "product_id"]))
     load_fact(facts, database, "out_of_stock")
     load_fact(day_slice(facts, "date", date(2024, 1, 15), date(2024, 1, 30)), database, "out_of_stock")
-    return _taken_from(spark, database, "out_of_stock")
+    return spark.table(f"{database}.out_of_stock")
 
 
 def warehouse_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +417,7 @@ def warehouse_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _new_warehouse(spark)
     for _ in range(2):
         load_dimension(gold_dim_products(spark, sf_dir), database, "dim_products")
-    return _taken_from(spark, database, "dim_products")
+    return spark.table(f"{database}.dim_products")
 
 
 def _new_warehouse(spark: SparkSession) -> str:
@@ -428,13 +428,6 @@ def _new_warehouse(spark: SparkSession) -> str:
     return database
 
 
-def _taken_from(spark: SparkSession, database: str, table: str) -> DataFrame:
-    """The rows of a table, staged so that its database can be dropped."""
-    rows = staged(spark.table(f"{database}.{table}"), table)
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return rows
-
-
 def silver_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days, then the days from 2024-01-15 a second time: nothing doubles."""
     path = scratch_dir(spark, "silver-append")
