@@ -31,6 +31,11 @@ from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_
 from tidelake.sources import DAY_FOLDERS, day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed
 
+try:
+    from tidelake.llm import queries as llm_queries
+except ImportError:  # the subpackage is optional
+    llm_queries = None
+
 FEED_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("product_id", T.LongType())])
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 REGION_CLASSES = {"starts_with_a": starts_with("a"), "contains_e": contains("E")}
@@ -479,7 +484,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return gold_fact_orders(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "category_count": category_count,
         "topk_entities_by_links": topk_entities_by_links,
@@ -573,7 +578,7 @@ _RENTAL_MINUTES = (
 _RENTAL_SECONDS = "date_diff('second', o_orderdate, l_shipdate)"
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     return {
         "category_count": """
             SELECT n_name AS category, COUNT(*) AS item_cnt
@@ -713,3 +718,11 @@ def oracle_sql() -> dict[str, str]:
         "silver_day_partition": f"SELECT date, product_id FROM ({_CLEAN_FEED_SQL}) WHERE date = DATE '2024-01-05'",
         "stream_ingest_feed": _CLEAN_FEED_SQL,
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_sql() | (llm_queries.oracle_sql() if llm_queries else {})

@@ -18,14 +18,14 @@ def database():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.own_queries()) == set(entry.own_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.own_queries()))
 def test_equals_sql(spark, database, name):
-    result = entry.queries()[name](spark, SF_DIR)
+    result = entry.own_queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
-    expected = database.execute(entry.oracle_sql()[name])
+    expected = database.execute(entry.own_sql()[name])
     names = [d[0] for d in expected.description]
     assert sorted(names) == columns
     got = sorted(repr(tuple(r[c] for c in columns)) for r in result.collect())

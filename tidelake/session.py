@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,20 +21,21 @@ def local_session(cores: int | str = "*", app: str = "tidelake", task_attempts:
         # Folders of a table are listed by few tasks, not by one task each.
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{tempfile.gettempdir()}/checkpoints")
         .getOrCreate()
     )
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can see.
+    """A new folder in the shared place that ``spark.checkpoint.dir`` or the context's checkpoint folder names.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without either, a local session, whose one machine shares it, gets a temporary folder; a cluster is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidelake-")
+        base = f"{tempfile.gettempdir()}/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
