@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import simhash
+from tidelake.llm import decontaminate, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,53 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.find_hits(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 13)
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontaminate.contaminated(20).alias("contaminated"),
+    )
+
+
+OP8_SQL = """
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    b AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    sized AS (SELECT item, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+    windows AS (
+        SELECT DISTINCT item, n, array_to_string(w[s : s + n - 1], ' ') AS run
+        FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM sized)),
+    runs AS (
+        SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS run
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+              FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, s, n, item FROM runs JOIN windows USING (n, run)),
+    n_hits AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+    n_items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op5_simhash_near_dedup, op8_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_benchmark_decontamination": OP8_SQL}
