@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import decontaminate, simhash
+from tidelake.llm import decontaminate, secrets, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +61,56 @@ OP8_SQL = """
     FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)"""
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    counts = [
+        F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{kind}")
+        for n, (kind, *_) in enumerate(secrets.BASE)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
+
+
+def op10_sql() -> str:
+    """Places by adding up what lies between matches; links by comparing all parts of a text."""
+
+    def of(n: int, kind: str, pattern: str, group: int, least: int) -> str:
+        text = pattern.replace("'", "''")
+        mixed = " AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')"
+        ok = f"length(regexp_extract(m, '{text}', {group})) >= {least}" + mixed * (kind == "secret_part")
+        return f"""
+            SELECT doc_id, {n} AS kind, '{secrets.ROLE[kind]}' AS role, {n < len(secrets.BASE)} AS strong, m, {ok} AS ok,
+                sum(length(g) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS stop
+            FROM (SELECT doc_id, unnest(f) AS m, unnest(g[1 : len(f)]) AS g, unnest(range(len(f))) AS i
+                  FROM (SELECT doc_id, regexp_extract_all(text, '{text}') AS f, string_split_regex(text, '{text}') AS g FROM d))"""
+
+    matches = " UNION ALL ".join(of(n, *k) for n, k in enumerate((*secrets.BASE, *secrets.WEAK)))
+    names = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+    one = f"{names}[kind + 1] || ':' || start || ':' || stop"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        parts AS (SELECT doc_id, kind, role, strong, stop - length(m) AS start, stop FROM ({matches}) WHERE ok),
+        linked AS (
+            SELECT w.doc_id, w.kind, w.start, w.stop
+            FROM parts w JOIN parts p ON w.doc_id = p.doc_id AND NOT w.strong AND w.role <> p.role
+                AND p.start <= w.stop + {secrets.REACH} AND p.stop >= w.start - {secrets.REACH}
+            GROUP BY ALL HAVING bool_or(p.strong) OR count(DISTINCT p.role) = 2),
+        spans AS (SELECT doc_id, kind, start, stop FROM parts WHERE strong UNION ALL SELECT * FROM linked),
+        told AS (
+            SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+                string_agg({one}, ',' ORDER BY start, kind, stop) FILTER (kind < {len(secrets.BASE)}) AS base,
+                string_agg({one}, ',' ORDER BY start, kind, stop) AS every
+            FROM spans GROUP BY doc_id)
+        SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+            sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+        FROM d LEFT JOIN told USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_near_dedup, op8_benchmark_decontamination)}
+    return {f.__name__: f for f in (op5_simhash_near_dedup, op8_benchmark_decontamination, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_benchmark_decontamination": OP8_SQL}
+    return {"op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
