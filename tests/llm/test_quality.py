@@ -1,0 +1,112 @@
+"""Quality classifier: encoding against a plain version, gradients by what is learnt, held-out accuracy."""
+
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tidelake.llm import bytewords, quality
+from tidelake.llm.common import held_out
+
+DIR = "/root/testdata/sf0.01"
+TEXTS = ["", "one", " \t two  words ", "Éa bc, 12! " * 100, "x" * 3000, "a b a b a b", "\n", "ünï cødé \U0001f600 " * 40]
+
+
+def plain_vectors(text):
+    """Word by word, as ``encode`` documents it."""
+    data = text.encode()
+    shapes = [int(quality.SHAPE[b]) for b in data]
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", data)]
+    passages = max(1, -(-len(spans) // quality.PASSAGE))
+    result = np.zeros((passages, quality.WIDTH), np.float32)
+    for n in range(passages):
+        mine = spans[n * quality.PASSAGE : (n + 1) * quality.PASSAGE]
+        start = mine[0][0] if n else 0
+        end = spans[(n + 1) * quality.PASSAGE][0] if n + 1 < passages else len(data)
+        for i in range(start, end):
+            result[n, shapes[i] * quality.SHAPES + (shapes[i + 1] if i + 1 < len(data) else 1)] += 1
+        size = max(1, end - start)
+        result[n, :-4] = np.sqrt(result[n, :-4] / size)
+        words = [data[a:b] for a, b in spans]
+        first = n * quality.PASSAGE
+        again = [words[first + k] in words[max(0, first + k - 4) : first + k] for k in range(len(mine))]
+        some = max(1, len(mine))
+        result[n, -4:] = sum(again) / some, len({data[a:b] for a, b in mine}) / some, min(4, size / some / 16) * bool(mine), len(mine) / 64
+    return result
+
+
+def encoded(texts):
+    found = [[] for _ in texts]
+    for p in bytewords.pieces(pa.array(texts)):
+        vectors, piece = quality.encode(p)
+        for k, row in enumerate(p.row):
+            found[row].append(vectors[piece == k])
+    return [np.concatenate(f) for f in found]
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 3000])
+def test_encoding(monkeypatch, piece):
+    monkeypatch.setattr(bytewords, "PIECE", piece)
+    for text, got in zip(TEXTS, encoded(TEXTS), strict=True):
+        if len(text.encode()) <= piece:
+            assert np.allclose(got, plain_vectors(text), atol=1e-6), text[:30]
+
+
+def test_word_hashes_tell_words_and_prefixes():
+    text = "idiot idiot, IDIOT idiots éa éb a"
+    p = next(bytewords.pieces(pa.array([text])))
+    starts, piece = bytewords.word_starts(p)
+    hashes = bytewords.word_hashes(bytewords.LETTER[p.data], starts)
+    assert len(starts) == 7 and set(piece) == {0}
+    assert hashes[0] == hashes[1] == hashes[2] != hashes[3] and len(set(hashes)) == 5
+    prefixes = bytewords.word_hashes(bytewords.LETTER[p.data], starts, 5)
+    assert len(set(prefixes[:4])) == 1 and prefixes[0] == hashes[0]
+
+
+def test_attention_finds_the_one_bad_passage():
+    """Bags are bad if any passage is; the mean alone hides it among many."""
+    rng = np.random.default_rng(0)
+
+    def bags(n):
+        made, labels = [], []
+        for k in range(n):
+            bag = rng.normal(0, 0.1, (rng.integers(5, 30), quality.WIDTH)).astype(np.float32)
+            if k % 3 == 0:
+                bag[rng.integers(len(bag)), :4] += 1
+            made.append(bag)
+            labels.append(k % 3 != 0)
+        return made, np.array(labels, np.float32)
+
+    model = quality.fit(*bags(300))
+    tests, labels = bags(90)
+    logits = []
+    for bag in tests:
+        _, e, z = model.pooled(bag, np.zeros(len(bag), int), 1)
+        logits.append(float((z / e[:, None] @ model.out + model.bias)[0]))
+    assert np.mean((np.array(logits) > 0) == labels) > 0.95
+
+
+def test_held_out_accuracy_and_repeatability(spark):
+    docs, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    scores = quality.score(docs, model).join(labels, "doc_id").withColumn("held", held_out("doc_id", 4)).filter("held").toPandas()
+    good, bad = scores[scores.quality == 1], scores[scores.quality == 0]
+    assert (good.score >= 0.7).mean() > 0.95 and (bad.score < 0.7).mean() > 0.85
+    again = quality.score(docs.repartition(5), quality.train(docs.repartition(7), labels))
+    assert sorted(quality.score(docs, model).collect()) == sorted(again.collect())
+
+
+def test_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(bytewords, "PIECE", 500)
+    docs = [(n, t, "s", 0.5) for n, t in enumerate(TEXTS)] + [(50, None, None, None), (None, "text", "s", 1.0), (1, "one", "s", 0.5)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, label string, score double")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0), (None, 1), (4, None), (99, 1)], "doc_id bigint, quality int")
+    model = quality.train(frame, labels)
+    got = {r.doc_id: r.score for r in quality.score(frame, model).collect()}
+    assert len(got) == len(TEXTS) + 2 and got[50] == got[0] and all(0 < s < 1 for s in got.values())
+    kept = quality.keep_good(frame, labels, 0.0)
+    assert kept.columns == frame.columns and kept.count() == len(docs)
+    nothing = quality.train(frame, labels.limit(0))
+    assert {r.score for r in quality.score(frame, nothing).collect()} == {0.5}
+    assert quality.score(frame.limit(0), model).count() == 0

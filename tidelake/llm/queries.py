@@ -6,13 +6,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import decontaminate, secrets, simhash
+from tidelake.llm import decontaminate, mixing, quality, secrets, simhash
+from tidelake.llm.common import held_out
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = mixing.quality_weights(_documents(spark, sf_dir).select("doc_id", "text", "source"), labels)
+    return mixing.mix(docs, "quality_weight").select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP1_SQL = """
+    WITH marks AS (SELECT doc_id, max(quality) AS mark FROM labels GROUP BY doc_id),
+    sized AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+            -ln((CAST(CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+                / CASE mark WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END AS key
+        FROM documents LEFT JOIN marks USING (doc_id)),
+    sources AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * sum(size) AS most,
+            1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS share
+        FROM sized GROUP BY source),
+    -- Sources in the order in which a rising level reaches their bound; the level once those before are full.
+    filled AS (
+        SELECT *, (SELECT sum(source_size) FROM sources)
+                - coalesce(sum(most) OVER (rising ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+            sum(share) OVER (rising ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+        FROM sources WINDOW rising AS (ORDER BY most / share, source)),
+    level AS (SELECT rest, weights FROM filled WHERE most * weights >= rest * share ORDER BY most / share, source LIMIT 1),
+    targets AS (
+        SELECT source, source_size, CASE WHEN most * weights < rest * share THEN CAST(most AS DOUBLE)
+            ELSE CAST(rest AS DOUBLE) * share / CAST(weights AS DOUBLE) END AS target
+        FROM sources, level),
+    drawn AS (
+        SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
+            sum(size) OVER (PARTITION BY sized.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS ahead
+        FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+    SELECT doc_id, size, source_size, target, CAST(size * (epochs + CASE
+            WHEN epochs < 3 AND target > epochs * source_size AND ahead + size / 2.0 <= target - epochs * source_size THEN 1
+            ELSE 0 END) AS BIGINT) AS taken
+    FROM drawn"""
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).select(
+        "doc_id", held_out("doc_id", 4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
 
@@ -109,8 +156,8 @@ def op10_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_near_dedup, op8_benchmark_decontamination, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_mixing, op2_quality_classifier, op5_simhash_near_dedup, op8_benchmark_decontamination, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
+    return {"op1_mixing": OP1_SQL, "op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
