@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelake.llm import decontaminate, mixing, quality, secrets, simhash
 from tidelake.llm.common import held_out
@@ -111,10 +111,11 @@ OP8_SQL = """
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{kind}")
-        for n, (kind, *_) in enumerate(secrets.BASE)
-    ]
+
+    def count(n: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
+
+    counts = [count(n).alias(f"n_{kind}") for n, (kind, *_) in enumerate(secrets.BASE)]
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
     )
