@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelake.llm import decontaminate, mixing, quality, secrets, simhash
+from tidelake.llm import decontaminate, mixing, quality, secrets, simhash, toxicity
 from tidelake.llm.common import held_out
 
 
@@ -76,6 +76,14 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 4).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 OP8_SQL = """
     WITH d AS (
         SELECT doc_id, regexp_extract_all(
@@ -157,7 +165,7 @@ def op10_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_quality_classifier, op5_simhash_near_dedup, op8_benchmark_decontamination, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_mixing, op2_quality_classifier, op5_simhash_near_dedup, op7_toxicity, op8_benchmark_decontamination, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
