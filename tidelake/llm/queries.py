@@ -16,8 +16,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    docs = mixing.quality_weights(_documents(spark, sf_dir).select("doc_id", "text", "source"), labels)
-    return mixing.mix(docs, "quality_weight").select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(_documents(spark, sf_dir), mixing.quality_weights(labels))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP1_SQL = """
