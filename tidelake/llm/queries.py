@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelake.llm import decontaminate, mixing, quality, secrets, simhash, toxicity
+import corpus_pipeline
+from tidelake.llm import decontaminate, editprint, mixing, quality, secrets, simhash, toxicity
 from tidelake.llm.common import held_out
 
 
@@ -60,6 +61,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ``bands_edited``: in how many bands of sampled places a text and its edited text meet as candidates."""
+    found = editprint.fingerprints_with_next(_documents(spark, sf_dir))
+    own, new = editprint.bands(F.col("fingerprint")), editprint.bands(F.col("edited_fingerprint"))
+    return found.withColumn("bands_edited", F.size(F.array_intersect(own, new)))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
 
@@ -165,7 +173,16 @@ def op10_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_quality_classifier, op5_simhash_near_dedup, op7_toxicity, op8_benchmark_decontamination, op10_secret_scans)}
+    operators = (
+        op1_mixing,
+        op2_quality_classifier,
+        op3_document_fingerprints,
+        op5_simhash_near_dedup,
+        op7_toxicity,
+        op8_benchmark_decontamination,
+        op10_secret_scans,
+    )
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
