@@ -13,6 +13,8 @@ ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows up to which the set is broadcast: 13 words each, some 60 MB. Beyond, Catalyst joins by shuffles.
 BROADCAST_WINDOWS = 200_000
+#: Words whose hash is looked up first; the whole window's is only where that passes.
+HEAD = 3
 #: Bits of the filter for each window, and the most bits it may have (128 KB). A fuller filter lets more windows pass to the join.
 BITS_A_WINDOW, MOST_BITS = 16, 1 << 20
 
@@ -25,9 +27,10 @@ def _run(array: str, start: Column, n: int) -> list[Column]:
     return [F.get(array, start + k) for k in range(n)]
 
 
-def _run_hash(window: str) -> Column:
-    """The hash of a run of words; chained over the words' hashes, so an array and its elements hash alike."""
-    return F.xxhash64(F.transform(window, lambda w: F.xxhash64(w)))
+def _run_hash(window: str, head: int | None = None) -> Column:
+    """The hash of a run of words, or of its first ``head``; chained over the words' hashes, so an array and its elements hash alike."""
+    hashes = F.transform(window, lambda w: F.xxhash64(w))
+    return F.xxhash64(hashes if head is None else F.slice(hashes, 1, head))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 13) -> DataFrame:
@@ -45,12 +48,13 @@ def benchmark_windows(benchmark: DataFrame, window: int = 13) -> DataFrame:
 
 
 def _filter_bits(windows: DataFrame, bits: int) -> Column:
-    """One constant array of ``bits`` bits, 64 to a long, in which the slot of every hash is set.
+    """One constant array of ``bits`` bits, 64 to a long, in which the slots of every window's and its head's hash are set.
 
     It passes through the driver: ``MOST_BITS`` bound it.
     """
     slot = F.col("hash").bitwiseAND(F.lit(bits - 1))
-    longs = windows.groupBy(F.shiftright(slot, 6).alias("place")).agg(
+    hashes = windows.select("hash").union(windows.select(_run_hash("window", HEAD)))
+    longs = hashes.groupBy(F.shiftright(slot, 6).alias("place")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 AS int))")).alias("long")
     )
     table = [0] * (bits // 64)
@@ -81,12 +85,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFr
     rows = rows.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
 
     def passing(n: int) -> Column:
-        def in_table(i: Column) -> Column:
-            hash = F.xxhash64(*_run("h", i, n))
+        def in_table(i: Column, count: int) -> Column:
+            hash = F.xxhash64(*_run("h", i, count))
             place = F.shiftright(hash.bitwiseAND(F.lit(bits - 1)), 6).cast("int")
             return F.getbit(F.get(table, place), hash.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-        places = F.filter(positions(0, F.size("h") - n + 1), in_table)
+        places = F.filter(positions(0, F.size("h") - n + 1), lambda i: in_table(i, min(HEAD, n)) & in_table(i, n))
         return F.transform(places, lambda i: F.struct(i.alias("first"), F.array(*_run("w", i, n)).alias("window")))
 
     found = F.concat(F.array(F.lit(None).cast("struct<first:int,window:array<string>>")), *[passing(r["n"]) for r in sizes])
