@@ -9,7 +9,7 @@ import numpy as np
 
 from tidelake.llm.common import cut, utf8
 
-#: Bytes that a task works on at once; a longer text is cut into pieces of so many.
+#: Bytes that a task works on at once; a longer text is cut into pieces of about so many, between words.
 PIECE = 1 << 20
 
 BLANK = np.zeros(256, bool)
@@ -40,9 +40,16 @@ def pieces(column) -> Iterator[Pieces]:
         if sizes[start] <= PIECE or end > start + 1:
             yield Pieces(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], np.arange(start, end))
             continue
-        for at in range(offsets[start], offsets[end], PIECE):
-            part = data[at : min(at + PIECE, offsets[end])]
-            yield Pieces(part, np.array([0, len(part)]), np.array([start]))
+        at, stop = int(offsets[start]), int(offsets[end])
+        while at < stop:
+            end_ = min(at + PIECE, stop)
+            if end_ < stop:
+                # Between words: after the last blank, or after the next one where a word is longer than a piece.
+                blanks = np.flatnonzero(BLANK[data[at:end_]])
+                later = np.flatnonzero(BLANK[data[end_:stop]]) if not len(blanks) else blanks
+                end_ = at + int(blanks[-1]) + 1 if len(blanks) else end_ + int(later[0]) + 1 if len(later) else stop
+            yield Pieces(data[at:end_], np.array([0, end_ - at]), np.array([start]))
+            at = end_
 
 
 def word_starts(p: Pieces) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidelake.llm import decontaminate, editprint, mixing, quality, secrets, simhash, toxicity
+from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, toxicity
 from tidelake.llm.common import held_out
 
 
@@ -124,6 +124,10 @@ OP8_SQL = """
     FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)"""
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_documents(spark, sf_dir), modulus=7, remainder=2)
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
@@ -180,6 +184,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_simhash_near_dedup,
         op7_toxicity,
         op8_benchmark_decontamination,
+        op9_lm_scoring,
         op10_secret_scans,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
