@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, toxicity
+from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, toxicity
 from tidelake.llm.common import held_out
+from tidelake.session import scratch_dir
+
+#: The tokenizer's rank file, and an identifier that it leaves free.
+RANKS, SEPARATOR = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 50256
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,12 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("bands_edited", F.size(F.array_intersect(own, new)))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is written to flat token files, which are then scanned."""
+    folder = scratch_dir(spark, "token-files")
+    return token_files.document_token_counts(_documents(spark, sf_dir), folder, RANKS, SEPARATOR)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
 
@@ -181,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_mixing,
         op2_quality_classifier,
         op3_document_fingerprints,
+        op4_token_counts,
         op5_simhash_near_dedup,
         op7_toxicity,
         op8_benchmark_decontamination,
