@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, toxicity
-from tidelake.llm.common import held_out
+from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, tool_calls, toxicity
+from tidelake.llm.common import WORD, held_out
 from tidelake.session import scratch_dir
 
 #: The tokenizer's rank file, and an identifier that it leaves free.
@@ -94,6 +94,61 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _prompt(longest: int) -> dict:
+    prompt = {"type": "string", "minLength": 1, "maxLength": 400}
+    words = {"type": "integer", "minimum": 1, "maximum": longest}
+    return {"type": "object", "required": ["prompt", "words"], "additionalProperties": False, "properties": {"prompt": prompt, "words": words}}
+
+
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's turn calls an assistant, with the text as argument, and needs the answer before; the assistant's turn is the result."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    is_call, is_result = F.col("role") == "user", F.col("role") == "assistant"
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
+    steps = turns.select(
+        "conv_id",
+        "turn",
+        F.when(is_call, "call").when(is_result, "result").otherwise("message").alias("kind"),
+        "role",
+        F.col("text").alias("content"),
+        F.when(is_call, F.concat_ws("-", "conv_id", "turn")).when(is_result, F.concat_ws("-", "conv_id", F.col("turn") - 1)).alias("call_id"),
+        F.when(is_call, F.when(F.col("turn") < 2, "open").otherwise("follow")).alias("name"),
+        F.when(is_call, F.to_json(F.struct(F.col("text").alias("prompt"), words.alias("words")))).alias("arguments"),
+        F.when(is_call, F.array(F.concat_ws("-", "conv_id", F.col("turn") - 2))).alias("needs"),
+    )
+    found = tool_calls.format_chat(steps, {"open": _prompt(40), "follow": _prompt(20)})
+    return found.withColumn("errors", F.array_join("errors", "; "))
+
+
+OP6_SQL = """
+    WITH steps AS (
+        SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+        FROM conversations),
+    tools AS (SELECT conv_id, turn, conv_id || '-' || turn AS id, CASE WHEN turn < 2 THEN 'open' ELSE 'follow' END AS name
+              FROM steps WHERE kind = 'call'),
+    results AS (SELECT conv_id, turn - 1 AS call_turn FROM steps WHERE kind = 'result')
+    SELECT s.conv_id, s.turn, s.kind,
+        CASE s.kind WHEN 'call' THEN c.id WHEN 'result' THEN s.conv_id || '-' || (s.turn - 1) END AS call_id,
+        CASE WHEN s.kind = 'message' THEN 'message' WHEN c.id IS NULL THEN 'orphan'
+            WHEN s.kind = 'call' AND r.conv_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+        s.turn AS major, CAST(0 AS BIGINT) AS minor,
+        CASE WHEN s.kind <> 'call' THEN '' ELSE concat_ws('; ',
+            CASE WHEN text IS NULL THEN '$.prompt: required' WHEN text = '' THEN '$.prompt: minLength'
+                WHEN length(text) > 400 THEN '$.prompt: maxLength' END,
+            CASE WHEN words < 1 THEN '$.words: minimum'
+                WHEN words > CASE WHEN s.turn < 2 THEN 40 ELSE 20 END THEN '$.words: maximum' END) END AS errors,
+        CASE s.kind
+            WHEN 'message' THEN '{"content":' || coalesce(to_json(text), 'null') || ',"kind":"message","role":' || to_json(role) || '}'
+            WHEN 'result' THEN '{"call_id":"' || s.conv_id || '-' || (s.turn - 1) || '","content":' || coalesce(to_json(text), 'null')
+                || ',"kind":"result","name":' || coalesce(to_json(c.name), 'null') || '}'
+            ELSE '{"arguments":{' || coalesce('"prompt":' || to_json(text) || ',', '') || '"words":' || words
+                || '},"call_id":"' || c.id || '","kind":"call","name":"' || c.name || '"}' END AS json
+    FROM steps s
+    LEFT JOIN tools c ON c.conv_id = s.conv_id AND c.turn = CASE s.kind WHEN 'call' THEN s.turn WHEN 'result' THEN s.turn - 1 END
+    LEFT JOIN results r ON r.conv_id = s.conv_id AND r.call_turn = s.turn"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -193,6 +248,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_document_fingerprints,
         op4_token_counts,
         op5_simhash_near_dedup,
+        op6_tool_calls,
         op7_toxicity,
         op8_benchmark_decontamination,
         op9_lm_scoring,
@@ -202,4 +258,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
+    return {"op1_mixing": OP1_SQL, "op6_tool_calls": OP6_SQL, "op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
