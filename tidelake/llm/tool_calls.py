@@ -98,7 +98,7 @@ def _ordered(pairs: DataFrame, needs: DataFrame) -> DataFrame:
 
     A call comes no sooner than the results it needs. Its place is the larger of its own turn and the places of these, plus a
     step. Only places that move are sent on, so conversations in order cost one look; the rounds follow the longest chain against the
-    turns. A place that has taken more steps than its conversation has needs lies on or behind a cycle.
+    turns. A place that has taken more steps than its conversation has needs lies on a cycle or waits for one; twice as many show all of them.
     """
     edges = needs.join(pairs.select("conv_id", F.col("call_id").alias("needed"), F.greatest("call_turn", "result_turn").alias("ready")), ["conv_id", "needed"])
     edges = edges.join(pairs.select("conv_id", "call_id", "call_turn"), ["conv_id", "call_id"])
@@ -107,7 +107,7 @@ def _ordered(pairs: DataFrame, needs: DataFrame) -> DataFrame:
     limits = edges.groupBy("conv_id").agg(F.count("*").alias("most"))
     moved = staged(late, "tool-order")
     while True:
-        mine = moved.withColumnRenamed("call_id", "needed").join(limits, "conv_id").filter("minor <= most").drop("most")
+        mine = moved.withColumnRenamed("call_id", "needed").join(limits, "conv_id").filter("minor <= 2 * most").drop("most")
         # The result of a call that waits waits with it.
         pushed = edges.join(mine, ["conv_id", "needed"]).filter("greatest(major, ready) >= call_turn")
         pushed = pushed.select("conv_id", "call_id", F.greatest("major", "ready").alias("major"), F.when(F.col("major") >= F.col("ready"), F.col("minor") + 1).otherwise(1).alias("minor"))
