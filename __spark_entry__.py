@@ -37,7 +37,6 @@ except ImportError:  # the subpackage is optional
     llm_queries = None
 
 FEED_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("product_id", T.LongType())])
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 REGION_CLASSES = {"starts_with_a": starts_with("a"), "contains_e": contains("E")}
 ONE_BY_DAY = WritePolicy("append", "date")
 
@@ -261,7 +260,8 @@ def orders_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = _feed(spark, sf_dir).select("date").distinct()
-    return request_grid(days, {"event_type": EVENT_TYPES}, allowed=["date", "event_type"])
+    types = _table(spark, sf_dir, "events").select("event_type")
+    return request_grid(days, {"event_type": types}, allowed=["date", "event_type"])
 
 
 # Gold
@@ -448,7 +448,7 @@ def silver_static_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = WritePolicy("overwrite", "date")
     rows = clean(_feed(spark, sf_dir), not_null=["date", "product_id"])
     write_table(rows, path, policy)
-    write_table(day_slice(rows, "date", date(2024, 1, 15), date(2024, 1, 30)), path, policy)
+    write_table(rows.filter(F.col("date") >= F.lit(date(2024, 1, 15))), path, policy)
     return read_silver(spark, path)
 
 

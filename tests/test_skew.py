@@ -5,15 +5,14 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidelake.operators import hot_keys, lookup_join, skew, unreferenced
+from tidelake.operators import hot_keys, lookup_join, unreferenced
 
 
 @pytest.fixture
-def always_salted(conf, monkeypatch):
+def always_salted(conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.shuffle.partitions", "8")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    monkeypatch.setattr(skew, "ONE_TASK_BYTES", -1)
 
 
 @pytest.fixture(scope="module")
@@ -53,10 +52,14 @@ def test_few_rows_and_only_nulls(spark, conf, adaptive):
     assert len(hot_keys(few, ["id"])) == 3
 
 
-def test_number_of_hot_keys_is_bounded(spark, conf):
+def test_partitions_alone_decide(spark, conf):
+    """A key of 1/600 of the rows is 33 average partitions of 20,000."""
     conf("spark.sql.shuffle.partitions", "20000")
-    hot = hot_keys(spark.range(0, 40_000, 1, 4).select((F.col("id") % 400).alias("k")), ["k"])
-    assert 0 < len(hot) <= 512
+    n = F.col("id")
+    rows_ = spark.range(0, 600_000, 1, 4).select(F.when(n % 600 == 0, F.lit(-1)).otherwise(n).alias("k"))
+    hot = hot_keys(rows_, ["k"])
+    seven = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
+    assert hot[seven] >= 33 and len(hot) <= 20_000
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -122,9 +125,20 @@ def test_small_lookup_is_left_to_catalyst(facts, lookup, physical_plan):
     assert "_salt" not in plan
 
 
-def test_a_source_of_unknown_size_is_not_read_twice(facts, lookup, always_salted, physical_plan, monkeypatch):
-    monkeypatch.setattr(skew, "UNKNOWN_BYTES", 1)
-    assert "_salt" not in physical_plan(lookup_join(facts, lookup, "k"))
+def test_a_hot_key_of_a_second_join(facts, lookup, always_salted, physical_plan):
+    first = lookup_join(facts, lookup.filter("k <> 7"), "k", "left").withColumnRenamed("name", "one")
+    second = lookup_join(first, lookup, "k")
+    assert physical_plan(second).count("SortMergeJoin") >= 2 and "_salt" in physical_plan(second)
+    tasks = second.filter("k = 7").groupBy(F.spark_partition_id()).count()
+    assert tasks.count() > 1
+    assert second.count() == facts.join(lookup, "k").count()
+
+
+def test_a_hot_key_that_lies_in_one_task(facts, lookup, always_salted):
+    placed = facts.repartition(6, "k")
+    salted = lookup_join(placed, lookup, "k")
+    assert salted.filter("k = 7").groupBy(F.spark_partition_id()).count().count() > 1
+    assert salted.exceptAll(facts.join(lookup, "k")).isEmpty() and salted.count() == facts.join(lookup, "k").count()
 
 
 def test_unknown_join_type(facts, lookup):

@@ -8,7 +8,6 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tidelake.operators import skew
 from tidelake.plans import rental as plans
 
 SCHEMAS = {
@@ -155,11 +154,9 @@ def listed(rows):
 
 @pytest.mark.parametrize("shuffled", [False, True])
 @pytest.mark.parametrize("question", sorted(QUESTIONS))
-def test_equals_sql(data, conf, monkeypatch, question, shuffled):
+def test_equals_sql(data, conf, question, shuffled):
     tables, connection = data
     if shuffled:
         conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-        monkeypatch.setattr(skew, "ONE_TASK_BYTES", -1)
-        monkeypatch.setattr(skew, "UNKNOWN_BYTES", 2**200)
     ask, sql = QUESTIONS[question]
     assert listed(ask(tables).collect()) == listed(connection.execute(sql).fetchall())

@@ -1,11 +1,10 @@
 """Equi-joins that hold when one key owns a large share of the rows.
 
-A side that Catalyst estimates below the broadcast threshold is left to Catalyst,
-which broadcasts it: no shuffle, no skew. Facts so few that one task can take them
-all are left alone too. Otherwise one pass over the key column looks for hot keys.
-Without any, the join is a plain one. With some, the rows of each hot key are
-spread over several salts by the task that read them, and the matching rows of the
-other side are repeated once per salt.
+A side that Catalyst broadcasts is left to Catalyst: no shuffle, no skew. Otherwise one
+pass over the key column looks for hot keys: those with more rows than an average
+shuffle partition. Without any, the join is a plain one. With some, the rows of each hot
+key are spread over several salts, and the matching rows of the other side are repeated
+once per salt.
 
 Adaptive execution splits skewed joins as well, but not where a side was grouped by
 the join key just before, or is grouped by it just after.
@@ -16,39 +15,25 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-# A sketch of this many counters finds every key above about 1/750 of the rows.
-TRACKED_KEYS = 1024
-# So a key below this share is never called hot, and there are at most 512 hot keys.
-MIN_HOT_SHARE = 1 / 512
-# Facts whose files have at most this size fit one task, whatever their keys: read into
-# rows they are about the 256 MB from which adaptive execution calls a partition skewed.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-# An estimate from here on (a petabyte) stands for no estimate: Catalyst gives a source
-# that does not know its size, such as a JDBC table, 2**63 - 1 bytes, less what a
-# projection saves, and gives a join the product of its sides.
-UNKNOWN_BYTES = 2**50
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+# A sketch of n counters finds every key above about 1 / (0.75 n) of the rows: with these for each shuffle partition, all hot ones.
+COUNTERS_A_PARTITION = 4
+# The most counters that Spark's sketch takes; enough for 250,000 shuffle partitions.
+MOST_COUNTERS = 1_000_000
 # Sketches are merged in this many groups before the last merge.
 SKETCH_GROUPS = 64
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one it holds against the broadcast threshold.
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst will broadcast ``df`` in a join, going by its estimate.
 
-    Spark Connect does not show it; a frame there has no known size.
+    Spark Connect does not show the estimate; a frame there is taken for a large one, which costs a look for hot keys.
     """
-    if not hasattr(df, "_jdf"):
-        return UNKNOWN_BYTES
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst will broadcast ``df`` in a join, going by its estimate."""
     if not hasattr(df, "_jdf"):
         return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -65,13 +50,12 @@ def _any_null(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
     """Hash of each hot key and the number of salts it needs; ``None`` stands for null keys.
 
-    A key is hot if it holds more rows than an average shuffle partition. Reads
-    the key columns once and moves only fixed-size sketches; the result has at most
-    ``1 / MIN_HOT_SHARE`` entries, whatever the size of ``df``.
+    A key is hot if it holds more rows than an average shuffle partition, so there are at most as many as
+    partitions. Reads the key columns once and moves only sketches, whose size follows the partitions and not ``df``.
     """
     spark = df.sparkSession
     partitions = _shuffle_partitions(spark)
-    share = max(1 / partitions, MIN_HOT_SHARE)
+    counters = min(MOST_COUNTERS, max(64, COUNTERS_A_PARTITION * partitions))
     sketches = (
         df.select(
             F.when(~_any_null(keys), F.xxhash64(*keys)).alias("key"),
@@ -79,7 +63,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
         )
         .groupBy("part")
         .agg(
-            F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"),
+            F.expr(f"approx_top_k_accumulate(key, {counters})").alias("sketch"),
             F.count("*").alias("n"),
             F.count("key").alias("n_keys"),
         )
@@ -92,7 +76,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
         )
     )
     found = sketches.select(
-        "n", "n_keys", F.expr(f"approx_top_k_estimate(sketch, {int(1 / MIN_HOT_SHARE)})").alias("top")
+        "n", "n_keys", F.expr(f"approx_top_k_estimate(sketch, {min(counters, partitions + 1)})").alias("top")
     ).first()
     if found is None:
         return {}
@@ -101,29 +85,36 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int | None, int]:
     return {
         key: math.ceil(count / found["n"] * partitions) + 1
         for key, count in counts.items()
-        if count > share * found["n"]
+        if count * partitions > found["n"]
     }
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    text = dtype.simpleString()
+    return "map<" not in text and "variant" not in text
+
+
 def _salted_join(
     facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: dict[int | None, int]
 ) -> DataFrame:
     spark = facts.sparkSession
     null_salts = hot.get(None, 1)
     salted_keys = [(key, salts) for key, salts in hot.items() if key is not None]
-    # At most 512 rows, see hot_keys.
+    # At most one row for each shuffle partition, see hot_keys.
     salts = F.broadcast(spark.createDataFrame(salted_keys, "_hot bigint, _salts int"))
 
     def with_salts(df: DataFrame) -> DataFrame:
         return df.withColumn("_hot", F.xxhash64(*keys)).join(salts, "_hot", "left").drop("_hot")
 
-    # The task's own number, unlike a random one, is the same when a lost task
-    # is run again, and it also spreads rows that are equal in every column.
-    task = F.spark_partition_id()
+    # A hash of the row spreads rows of a key that lie in one task, the task's number rows that are equal in every
+    # column. Unlike a random number, both are the same when a lost task is run again.
+    others = [F.col(c) for c in facts.columns if c not in keys and _hashable(facts.schema[c].dataType)]
+    spot = F.xxhash64(F.spark_partition_id(), *others)
     salt = (
-        F.when(_any_null(keys), F.pmod(task, F.lit(null_salts)))
-        .when(F.col("_salts").isNotNull(), F.pmod(task, F.col("_salts")))
+        F.when(_any_null(keys), F.pmod(spot, F.lit(null_salts)))
+        .when(F.col("_salts").isNotNull(), F.pmod(spot, F.col("_salts")))
         .otherwise(F.lit(0))
+        .cast("int")
     )
     spread = with_salts(facts).withColumn("_salt", salt).drop("_salts")
     repeated = (
@@ -134,12 +125,9 @@ def _salted_join(
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, source: DataFrame) -> bool:
+def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> bool:
     if fits_broadcast(lookup) or (how == "inner" and fits_broadcast(facts)):
         return False
-    # What has no known size may be costly to read twice; its skew is left to adaptive execution.
-    if not ONE_TASK_BYTES < estimated_bytes(source) < UNKNOWN_BYTES:
-        return False
     # Keys of different types would hash differently on the two sides.
     return all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
 
@@ -158,13 +146,14 @@ def lookup_join(
     repeats keys and only presence counts, reduce it with ``distinct`` before.
 
     ``keys_from`` is the table to look for hot keys in, for ``facts`` that are the
-    result of joins: looking there costs a scan, looking in ``facts`` the joins.
+    result of joins: looking there costs a scan, looking in ``facts`` the joins. The look is a job of
+    its own, run when the plan is made, wherever neither side is broadcast.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     source = facts if keys_from is None else keys_from
-    hot = hot_keys(source, keys) if _may_skew(facts, lookup, keys, how, source) else {}
+    hot = hot_keys(source, keys) if _may_skew(facts, lookup, keys, how) else {}
     if not hot:
         return facts.join(lookup, keys, how)
     return _salted_join(facts, lookup, keys, how, hot)

@@ -123,13 +123,15 @@ def top_category_per_city_class(
     ``rental_keys(customer_id)`` is a table to look for hot customers in, if ``rental``
     itself is the result of joins.
     """
-    cities = classified_cities(city, rules, exclusive)
-    addresses = lookup_join(address, cities, "city_id").select("address_id", "city_type")
-    customers = lookup_join(customer, addresses, "address_id").select("customer_id", "city_type")
     hours = with_duration(rental, "rental_date", "return_date", "units", resolution)
     hours = hours.select("inventory_id", "customer_id", "units")
-    classed = lookup_join(hours, customers, "customer_id", keys_from=rental_keys)
-    # From here a key has one row per class, however many rentals a customer or film had.
+    # Customers, addresses and cities are tables of known size; a join of them would not be.
+    homes = lookup_join(hours, customer.select("customer_id", "address_id"), "customer_id", keys_from=rental_keys)
+    per_city = roll_up(homes, address, "address_id", "city_id", "units", carry="inventory_id", to_one=True)
+    # A city has at most as many targets as there are classes, so none is hot.
+    cities = classified_cities(city, rules, exclusive)
+    classed = roll_up(per_city, cities, "city_id", "city_type", "units", carry="inventory_id", to_one=True)
+    # Films are summed up to here, where a film may have several categories: one row per class, however many rentals it had.
     per_film = roll_up(classed, inventory, "inventory_id", "film_id", "units", carry="city_type", to_one=True)
     per_category = roll_up(per_film, film_category, "film_id", "category_id", "units", carry="city_type")
     named = roll_up(per_category, category, "category_id", "name", "units", carry="city_type", to_one=True)

@@ -26,7 +26,7 @@ def fact_out_of_stock(out_of_stock: DataFrame, start: date | None = None, end: d
 def dim_products(products: DataFrame, departments: DataFrame, aisles: DataFrame) -> DataFrame:
     """Products with their department and aisle, null where there is none."""
     joined = lookup_join(products, departments.select("department_id", "department"), "department_id", "left")
-    joined = lookup_join(joined, aisles.select("aisle_id", "aisle"), "aisle_id", "left")
+    joined = lookup_join(joined, aisles.select("aisle_id", "aisle"), "aisle_id", "left", keys_from=products)
     return joined.select("product_id", "product_name", "department", "aisle")
 
 
@@ -37,7 +37,7 @@ def _areas(location_areas: DataFrame) -> DataFrame:
 def dim_stores(stores: DataFrame, store_types: DataFrame, location_areas: DataFrame) -> DataFrame:
     """Stores with their type and area, null where there is none."""
     joined = lookup_join(stores, store_types.select("store_type_id", "type"), "store_type_id", "left")
-    joined = lookup_join(joined, _areas(location_areas), "location_area_id", "left")
+    joined = lookup_join(joined, _areas(location_areas), "location_area_id", "left", keys_from=stores)
     return joined.select("store_id", "type", "area")
 
 
