@@ -15,7 +15,7 @@ from tidelake.llm.common import held_out, whole, with_labels
 #: Terms of a word: the whole of it and its first bytes, as inflected words share their stem.
 PREFIXES = (None, 4, 5, 6)
 #: Most labelled documents that the model learns from, those with the smallest hash of their id.
-SAMPLE = 16384
+SAMPLE = 8192
 #: Terms with a weight: at most so many that tell the labels of the sample alone, and the most common, which may tell in pairs.
 TERMS, LEAST_TEXTS, LEAST_GAIN, COMMON = 2048, 4, 6, 256
 FACTORS, EPOCHS, BATCH, RATE, DECAY, SEED = 8, 40, 64, 0.02, 2e-3, 11
@@ -24,9 +24,9 @@ SLOTS = 1 << 20
 
 
 def _term_hashes(values: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """32-bit hashes of the words, then of each prefix; a word and its own prefix are terms of their own."""
     for n, prefix in enumerate(PREFIXES):
-        # A word and its own prefix are terms of their own.
-        yield word_hashes(values, starts, prefix) + np.uint64(n)
+        yield (word_hashes(values, starts, prefix) >> np.uint64(32)).astype(np.uint32) + np.uint32(n)
 
 
 def _distinct_terms(column) -> list[np.ndarray]:
@@ -52,11 +52,11 @@ class Machine:
 
     def __post_init__(self) -> None:
         self.passes = np.zeros(SLOTS, bool)
-        self.passes[self.terms & np.uint64(SLOTS - 1)] = True
+        self.passes[self.terms & np.uint32(SLOTS - 1)] = True
 
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes are terms, and of which number."""
-        some = np.flatnonzero(self.passes[hashes & np.uint64(SLOTS - 1)])
+        some = np.flatnonzero(self.passes[hashes & np.uint32(SLOTS - 1)])
         at = np.minimum(np.searchsorted(self.terms, hashes[some]), max(len(self.terms) - 1, 0))
         true = self.terms[at] == hashes[some] if len(self.terms) else np.zeros(len(some), bool)
         return some[true], at[true]
@@ -72,8 +72,10 @@ class Machine:
 
 def _telling(terms: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """The terms whose texts' labels depart most from the sample's share, by their likelihood ratio, and the most common terms."""
-    names, inverse, texts = np.unique(terms, return_inverse=True, return_counts=True)
-    bad = np.bincount(inverse, labels[rows], len(names))
+    names, texts = np.unique(terms, return_counts=True)
+    bad_names, bad_texts = np.unique(terms[labels[rows] == 1], return_counts=True)
+    bad = np.zeros(len(names))
+    bad[np.searchsorted(names, bad_names)] = bad_texts
     prior = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     share = np.clip(bad / texts, 1e-9, 1 - 1e-9)
     gain = texts * (share * np.log(share / prior) + (1 - share) * np.log((1 - share) / (1 - prior)))
@@ -87,9 +89,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
     """Adagrad on the labels' cross-entropy; label 1, the rarer, weighs up to four times. Equal input gives an equal model."""
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
     bias = float(np.log(share / (1 - share)))
-    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts]) if len(texts) else np.empty(0, np.int64)
-    all_terms = np.concatenate(texts) if len(texts) else np.empty(0, np.uint64)
-    terms = _telling(all_terms, rows, labels) if len(labels) and labels.min() < labels.max() else np.empty(0, np.uint64)
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+    all_terms = np.concatenate(texts) if len(texts) else np.empty(0, np.uint32)
+    terms = _telling(all_terms, rows, labels) if len(labels) and labels.min() < labels.max() else np.empty(0, np.uint32)
     rng = np.random.default_rng(SEED)
     model = Machine(terms, np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS)), bias)
     if not len(terms):
@@ -123,7 +125,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        terms = [t.astype("<u8").tobytes() for t in _distinct_terms(batch.column("text"))]
+        terms = [t.astype("<u4").tobytes() for t in _distinct_terms(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(terms, pa.binary())], names=["doc_id", "label", "terms"]
         )
@@ -141,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     taught = taught.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
     rows = taught.mapInArrow(_terms_of, "doc_id long, label int, terms binary").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
-    return fit([np.frombuffer(r["terms"], "<u8").astype(np.uint64) for r in rows], np.array([r["label"] for r in rows], float))
+    return fit([np.frombuffer(r["terms"], "<u4") for r in rows], np.array([r["label"] for r in rows], float))
 
 
 def _scorer(model: Machine):
