@@ -405,7 +405,7 @@ def backfill_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = feed.agg(F.min("date"), F.max("date")).first()
     clean_out_of_stock(spark, lake, first, last, FEED_SCHEMA)
     clean_out_of_stock(spark, lake, first, schema=FEED_SCHEMA)
-    return gold_rows(spark, lake, "out_of_stock", first, last)
+    return gold_rows(spark, lake, "out_of_stock", first, last, {"out_of_stock": FEED_SCHEMA})
 
 
 def warehouse_out_of_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,7 +429,7 @@ def _new_warehouse(spark: SparkSession) -> str:
     """A database of its own with an empty star schema."""
     root = scratch_dir(spark, "warehouse")
     database = root.rsplit("/", 1)[-1].replace("-", "_")
-    create_star_schema(spark, database, root, buckets=8)
+    create_star_schema(spark, database, root, day_bytes={"orders": 1 << 20, "out_of_stock": 1 << 20})
     return database
 
 

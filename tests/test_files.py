@@ -28,9 +28,9 @@ def test_csv_dialect(spark, tmp_path):
     )
     path = landed(tmp_path, "a.csv", text)
     struct = spark.createDataFrame([], schema).schema
-    assert rows(read_bronze_csv(spark, path, struct)) == [
+    assert rows(read_bronze_csv(spark, path, struct, multiline=True)) == [
         (1, 'say "hi", all', True, "two\nlines", 5),
-        (2, "plain", False, None, None),
+        (2, "plain", False, "", None),
         (3, None, None, None, None),
     ]
 
@@ -47,7 +47,7 @@ def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'q"uo,te\nx'), (2, None)], SHOP_SCHEMAS["aisles"])
     path = str(tmp_path / "out")
     write_csv(df, path)
-    assert rows(read_bronze_csv(spark, path, SHOP_SCHEMAS["aisles"])) == rows(df)
+    assert rows(read_bronze_csv(spark, path, SHOP_SCHEMAS["aisles"], multiline=True)) == rows(df)
 
 
 def test_json_edge_rows(spark, tmp_path):
@@ -175,3 +175,36 @@ def test_day_slice_by_type(spark, dtype):
 
 def test_bronze_path():
     assert bronze_path("/b/", "shop/orders", date(2021, 1, 2), "csv") == "/b/shop/orders/2021-01-02.csv"
+
+
+def test_landing_cuts_nothing(spark, tmp_path):
+    """Blanks at the ends, empty texts, nulls and microseconds come back, from CSV and from JSON."""
+    rows_ = [
+        (1, "  padded  ", datetime(2021, 1, 1, 1, 2, 3, 456789)),
+        (2, "", datetime(2021, 1, 1)),
+        (3, None, None),
+        (4, 'a "quoted", part', datetime(2021, 1, 1, 0, 0, 0, 1)),
+        (None, "\\ back", datetime(1999, 12, 31, 23, 59, 59, 999999)),
+    ]
+    df = spark.createDataFrame(rows_, "n int, text string, at timestamp_ntz").withColumn("zoned", F.col("at").cast("timestamp"))
+    write_csv(df, str(tmp_path / "csv"))
+    write_json(df, str(tmp_path / "json"))
+    assert rows(read_bronze_csv(spark, str(tmp_path / "csv"), df.schema)) == rows(df)
+    assert rows(read_bronze_json(spark, str(tmp_path / "json"), df.schema)) == rows(df)
+
+
+def test_one_day_file_is_read_by_many_tasks(spark, tmp_path, conf):
+    conf("spark.sql.files.maxPartitionBytes", "64k")
+    conf("spark.sql.files.openCostInBytes", "1k")
+    df = spark.range(60_000).select(F.col("id").cast("int").alias("aisle_id"), F.lit("a name").alias("aisle"))
+    path = landed(tmp_path, "day.csv", "aisle_id,aisle\n" + "".join(f"{n},a name\n" for n in range(60_000)))
+    read = read_bronze_csv(spark, path, SHOP_SCHEMAS["aisles"])
+    assert read.select(F.spark_partition_id()).distinct().count() > 4 and read.count() == df.count()
+
+
+def test_without_adaptive_execution_a_day_is_written_by_several_tasks(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    df = spark.range(4000).select(F.col("id").cast("int").alias("product_id"), F.lit(date(2021, 1, 1)).alias("date"))
+    write_table(df, str(tmp_path / "t"), WritePolicy("append", "date"))
+    files = list((tmp_path / "t" / "date=2021-01-01").glob("*.parquet"))
+    assert 1 < len(files) <= 8

@@ -65,12 +65,23 @@ def test_extract_slices_only_listed_tables(spark, monkeypatch):
     assert extract_table(spark, URL, "public.clients", date(2021, 1, 2), USER).count() == 2
 
 
+def test_the_database_makes_the_slice(spark, monkeypatch):
+    """So that strides lie between the bounds of the slice."""
+    asked = []
+    frame = spark.createDataFrame([(1, date(2021, 1, 2))], "id int, order_date date")
+    monkeypatch.setattr(jdbc, "read_table", lambda _spark, _url, table, _user, **options: asked.append((table, options)) or frame)
+    extract_table(spark, URL, "public.orders", date(2021, 1, 2), USER, partition_column="product_id", num_partitions=8)
+    assert asked == [
+        ("(SELECT * FROM public.orders WHERE order_date = DATE '2021-01-02') AS day_rows", {"partition_column": "product_id", "num_partitions": 8})
+    ]
+
+
 def test_write_modes():
     df = MagicMock()
     write_jdbc(df, URL, "dim_stores", USER, "overwrite", batch_size=1000)
-    kwargs = df.write.jdbc.call_args.kwargs
+    kwargs = df.repartition.return_value.write.jdbc.call_args.kwargs
     assert kwargs["properties"]["truncate"] == "true" and kwargs["properties"]["batchsize"] == "1000"
     write_jdbc(df, URL, "orders", USER, "append")
-    assert "truncate" not in df.write.jdbc.call_args.kwargs["properties"]
+    assert "truncate" not in df.repartition.return_value.write.jdbc.call_args.kwargs["properties"]
     with pytest.raises(ValueError):
         write_jdbc(df, URL, "orders", USER, "ignore")

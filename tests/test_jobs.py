@@ -10,7 +10,7 @@ from tidelake.plans import jobs
 from tidelake.plans.jobs import Lake, clean_out_of_stock, clean_shop_table, land_shop, load_gold, load_gold_jdbc, run_range
 from tidelake.schemas import SHOP_SCHEMAS
 from tidelake.sinks import create_star_schema
-from tidelake.sources import date_range, read_silver
+from tidelake.sources import date_range, read_bronze_csv, read_silver
 
 DAYS = date_range(date(2021, 1, 1), date(2021, 1, 3))
 GOLD = ["orders", "out_of_stock", "dim_clients", "dim_products", "dim_stores"]
@@ -117,8 +117,11 @@ def test_rows_of_another_day_fail_the_load(spark, lakes, tmp_path):
     clean_out_of_stock(spark, lake, DAYS[0], DAYS[1])
     stray = [{"date": str(DAYS[0]), "product_id": 9}]
     (tmp_path / "bronze" / "out_of_stock" / f"{DAYS[1]}.json").write_text(json.dumps(stray))
-    with pytest.raises(Exception, match="date not within 2021-01-02"):
+    with pytest.raises(Exception, match="date 2021-01-01 in the file of 2021-01-02"):
         clean_out_of_stock(spark, lake, DAYS[1])
+    # A range takes what its days take one by one.
+    with pytest.raises(Exception, match="date 2021-01-01 in the file of 2021-01-02"):
+        clean_out_of_stock(spark, lake, DAYS[0], DAYS[1])
     assert read_silver(spark, lake.silver_path("out_of_stock")).count() == 4
 
 
@@ -131,10 +134,10 @@ def test_landing_reads_what_the_database_lists(spark, lakes, monkeypatch):
     }
     listed = spark.createDataFrame([(name,) for name in tables], "table_name string")
     monkeypatch.setattr(jobs, "list_tables", lambda *args: listed)
-    monkeypatch.setattr(jobs, "extract_table", lambda _spark, _url, name, *rest: tables[name.split(".")[1]])
+    monkeypatch.setattr(jobs, "extract_table", lambda _spark, _url, name, *rest, **options: tables[name.split(".")[1]])
     assert land_shop(spark, lake, "jdbc:x", {}, day) == ["aisles", "orders"]
     for name, expected in tables.items():
-        clean_shop_table(spark, lake, name, day)
+        clean_shop_table(spark, lake, name, day, multiline=name == "aisles")
         assert rows(read_silver(spark, lake.silver_path(name)).select(expected.columns)) == rows(expected)
 
 
@@ -154,3 +157,62 @@ def test_gold_over_jdbc_appends_facts_and_replaces_dimensions(spark, lakes, monk
         "dw.dim_products": ("overwrite", 2),
         "dw.dim_stores": ("overwrite", 1),
     }
+
+
+BODIES = ["[]", '{"message": "no out_of_stock items for this date"}', '[{"date": null, "product_id": 4}, {"date": "2021-01-02", "product_id": null}]', ""]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("body", BODIES)
+def test_a_feed_day_without_rows(spark, lakes, tmp_path, conf, body, adaptive):
+    """It neither fails nor leaves what the day held before, in silver and in gold."""
+    conf("spark.sql.adaptive.enabled", adaptive)
+    lake = lakes("empty")
+    run_range(spark, lake, DAYS[0], DAYS[-1])
+    (tmp_path / "bronze" / "out_of_stock" / f"{DAYS[1]}.json").write_text(body)
+    counts = run_range(spark, lake, DAYS[1])
+    read = {"[]": 0, "": 0}.get(body, 1 if body.startswith("{") else 2)
+    assert counts == {"rows_read": read, "rows_dropped_null": read}
+    assert {r["date"] for r in read_silver(spark, lake.silver_path("out_of_stock")).collect()} == {DAYS[0], DAYS[2]}
+    assert {r[0] for r in gold(spark, lake)["out_of_stock"]} | {r[1] for r in gold(spark, lake)["out_of_stock"]} >= {DAYS[0], DAYS[2]}
+    assert not any(DAYS[1] in r for r in gold(spark, lake)["out_of_stock"])
+
+
+def test_an_empty_first_day(spark, lakes, tmp_path):
+    for path in (tmp_path / "bronze" / "shop").glob(f"orders/{DAYS[0]}.csv"):
+        path.write_text("product_id,client_id,store_id,quantity,order_date\n")
+    (tmp_path / "bronze" / "out_of_stock" / f"{DAYS[0]}.json").write_text("[]")
+    lake = lakes("first")
+    run_range(spark, lake, DAYS[0])
+    got = gold(spark, lake)
+    assert got["orders"] == [] and got["out_of_stock"] == [] and len(got["dim_products"]) == 2
+
+
+def test_range_from_the_database(spark, lakes, tmp_path, monkeypatch):
+    """Bronze, silver and gold in one run; a listed table without a policy stops it before silver."""
+    lake = lakes("whole")
+    landed = {t: clean_rows(spark, tmp_path, t) for t in SHOP_SCHEMAS}
+    names = list(SHOP_SCHEMAS)
+    monkeypatch.setattr(jobs, "list_tables", lambda *args: spark.createDataFrame([(n,) for n in names], "table_name string"))
+
+    def extract(_spark, _url, name, day, _properties, **options):
+        table = name.split(".")[1]
+        rows_ = landed[table]
+        assert options["num_partitions"] > 1
+        return rows_.filter(rows_["order_date"] == day) if table == "orders" else rows_
+
+    monkeypatch.setattr(jobs, "extract_table", extract)
+    database = jobs.ShopDatabase("jdbc:x", {})
+    run_range(spark, lake, DAYS[0], DAYS[-1], database=database, gold_tables=["orders", "dim_products"])
+    got = gold(spark, lake)
+    assert len(got["orders"]) == 6 and len(got["dim_products"]) == 2 and got["dim_stores"] == []
+    names.append("unheard_of")
+    monkeypatch.setattr(jobs, "land_shop", lambda *args: names)
+    with pytest.raises(KeyError, match="unheard_of"):
+        run_range(spark, lake, DAYS[0], database=database)
+
+
+def clean_rows(spark, tmp_path, table):
+    paths = [str(p) for p in sorted((tmp_path / "bronze" / "shop" / table).glob("*.csv"))]
+    held = read_bronze_csv(spark, paths if table == "orders" else paths[-1:], SHOP_SCHEMAS[table]).collect()
+    return spark.createDataFrame(held, SHOP_SCHEMAS[table])

@@ -104,9 +104,17 @@ def test_dimension_load(spark, warehouse):
     load_dimension(spark.createDataFrame([(1, "c", "n")], schema), warehouse, "dim_clients")
     spark.catalog.refreshTable(f"{warehouse}.dim_clients")
     assert rows(spark.table(f"{warehouse}.dim_clients")) == [(1, "c", "n")]
-    with pytest.raises(ValueError, match="more than once"):
+    with pytest.raises(ValueError, match="1 of unique_key on id"):
         load_dimension(spark.createDataFrame([(1, "a", "n"), (1, "b", "n")], schema), warehouse, "dim_clients")
-    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+    with pytest.raises(ValueError, match="1 of max_length on fullname"):
         load_dimension(spark.createDataFrame([(1, "a" * 64, "n")], schema), warehouse, "dim_clients")
     with pytest.raises(Exception, match="dim_clients.id is null"):
         load_dimension(spark.createDataFrame([(None, "a", "n")], schema), warehouse, "dim_clients")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_value_beyond_its_column_is_an_error(spark, warehouse, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    wide = spark.createDataFrame([(4294967301, "x", "y", "z")], "product_id long, product_name string, department string, aisle string")
+    with pytest.raises(Exception, match="dim_products.product_id does not fit: 4294967301"):
+        load_dimension(wide, warehouse, "dim_products")

@@ -40,11 +40,13 @@ def test_a_file_of_nulls_changes_nothing(spark, tmp_path):
     assert rows(read_silver(spark, str(tmp_path / "silver"))) == [(1, date(2021, 1, 1))]
 
 
-def test_rows_of_very_many_days(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "MAX_LISTED_DAYS", 2)
+def test_only_touched_partitions_are_read(spark, tmp_path, physical_plan):
     landing = tmp_path / "in"
-    args = (spark, str(landing), str(tmp_path / "silver"))
+    silver = str(tmp_path / "silver")
     land(landing, "a.json", *[(f"2021-01-0{d}", 1) for d in (1, 2, 3, 4)])
-    ingest_feed(*args, str(tmp_path / "checkpoint"))
-    ingest_feed(*args, str(tmp_path / "other"))
-    assert read_silver(spark, str(tmp_path / "silver")).count() == 4
+    ingest_feed(spark, str(landing), silver, str(tmp_path / "checkpoint"))
+    ingest_feed(spark, str(landing), silver, str(tmp_path / "other"))
+    table = read_silver(spark, silver)
+    assert table.count() == 4
+    touched = ingest.touched_days(table, table.filter("product_id = 1").limit(1), "date")
+    assert touched.count() == 1 and "dynamicpruning" in physical_plan(touched)

@@ -6,9 +6,9 @@ can be run again: it replaces the days, or the snapshot, that it writes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
 
@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tidelake.operators.quality import clean
 from tidelake.plans import star
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WRITE_POLICIES, WritePolicy, write_policy
-from tidelake.sinks.files import write_csv, write_table
+from tidelake.sinks.files import observed, replace_days, write_csv, write_table
 from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
-from tidelake.sources.files import DAY_FILES, bronze_paths, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources.files import DAY_FILES, bronze_paths, date_range, file_day, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.sources.jdbc import extract_table, list_tables
 
 
@@ -51,6 +51,12 @@ def _together(spark: SparkSession, jobs: list[Callable[[], object]], at_once: in
     return [job.result() for job in running]
 
 
+def _split(table: str, schemas: Mapping[str, T.StructType], tasks: int = 8) -> dict:
+    """How to read a table by several tasks if nothing is said: strides of its first integer column."""
+    keys = [f.name for f in schemas.get(table, ()) if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+    return {"partition_column": keys[0], "num_partitions": tasks} if keys else {}
+
+
 def land_shop_table(
     spark: SparkSession,
     lake: Lake,
@@ -63,9 +69,10 @@ def land_shop_table(
 ) -> None:
     """One table of the database to bronze CSV: the day's orders, other tables whole.
 
-    ``read_options`` split the read over tasks, each of which lands a file.
+    ``read_options`` split the read over tasks, each of which lands a file; without any, a declared table is
+    read in strides of its first integer column.
     """
-    rows = extract_table(spark, url, f"{schema}.{table}", day, properties, **read_options)
+    rows = extract_table(spark, url, f"{schema}.{table}", day, properties, **(read_options or _split(table, SHOP_SCHEMAS)))
     [path] = lake.bronze_paths(f"{lake.source}/{table}", day, day, "csv")
     write_csv(rows, path)
 
@@ -88,12 +95,16 @@ def land_shop(
     return names
 
 
-def _only_days(rows: DataFrame, column: str, start: date, end: date) -> DataFrame:
-    """A row of another day fails the write, as it would replace that day's partition."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit("null"))
-    error = F.raise_error(F.concat(F.lit(f"{column} not within {start} to {end}: "), text))
-    inside = F.col(column).between(F.lit(start), F.lit(end))
-    return rows.withColumn(column, F.when(inside, F.col(column)).otherwise(error.cast("date")))
+def _own_days(rows: DataFrame, column: str, path_column: str, layout: str) -> DataFrame:
+    """A row of another day than its file's fails the write, as it would replace that day's partition.
+
+    So a range of days accepts what its days accept one by one. Rows without a day pass; cleaning drops them or not.
+    """
+    day = file_day(F.col(path_column), layout)
+    told = F.concat(F.lit(f"{column} "), F.col(column).cast("string"), F.lit(" in the file of "), F.coalesce(day.cast("string"), F.col(path_column)))
+    stray = F.col(column).isNotNull() & ~F.col(column).eqNullSafe(day)
+    checked = F.when(stray, F.raise_error(told).cast("date")).otherwise(F.col(column))
+    return rows.withColumn(column, checked).drop(path_column)
 
 
 def clean_shop_table(
@@ -102,24 +113,34 @@ def clean_shop_table(
     table: str,
     start: date,
     end: date | None = None,
-    schemas: dict[str, T.StructType] = SHOP_SCHEMAS,
+    schemas: Mapping[str, T.StructType] = SHOP_SCHEMAS,
     policies: dict[str, WritePolicy] = WRITE_POLICIES,
     dedupe: bool = True,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> None:
     """Bronze CSV of a table to silver, full rows once.
 
-    Of a table that each day replaces as a whole, only the last day is read.
+    Of a table that each day replaces as a whole, only the last day is read. Of one by day, a day without rows becomes empty.
     """
     policy = write_policy(table, policies)
     source, last = f"{lake.source}/{table}", end or start
     if policy.mode == "overwrite":
         start = last
     paths = lake.bronze_paths(source, start, last, "csv")
-    rows = clean(read_bronze_csv(spark, paths, schemas[table], multiline), dedupe=dedupe)
-    if policy.partition_by:
-        rows = _only_days(rows, policy.partition_by, start, last)
-    write_table(rows, lake.silver_path(table), policy, gather=last > start)
+    if not policy.partition_by:
+        rows = clean(read_bronze_csv(spark, paths, schemas[table], multiline), dedupe=dedupe)
+        write_table(rows, lake.silver_path(table), policy, gather=last > start)
+        return
+    rows = read_bronze_csv(spark, paths, schemas[table], multiline, file_column="_file")
+    rows = clean(_own_days(rows, policy.partition_by, "_file", lake.bronze_layout), [policy.partition_by], dedupe=dedupe)
+    _write_days(rows, lake.silver_path(table), policy, start, last)
+
+
+def _write_days(rows: DataFrame, path: str, policy: WritePolicy, start: date, last: date) -> None:
+    if policy.mode == "append":
+        replace_days(rows, path, policy, start, last)
+    else:
+        write_table(rows, path, policy, gather=last > start)
 
 
 def clean_out_of_stock(
@@ -130,26 +151,45 @@ def clean_out_of_stock(
     schema: T.StructType = OUT_OF_STOCK_SCHEMA,
     policies: dict[str, WritePolicy] = WRITE_POLICIES,
 ) -> dict[str, int]:
-    """Bronze JSON of the feed to silver; returns how many rows were read and dropped for nulls."""
+    """Bronze JSON of the feed to silver; returns how many rows were read and dropped for nulls.
+
+    A day whose file holds no rows, or an error message instead, becomes an empty day.
+    """
     last = end or start
     paths = lake.bronze_paths(lake.feed, start, last, "json")
-    counts = Observation()
-    rows = clean(read_bronze_json(spark, paths, schema), ["date", "product_id"], observation=counts)
-    policy = write_policy("out_of_stock", policies)
-    rows = _only_days(rows, policy.partition_by, start, last)
-    write_table(rows, lake.silver_path("out_of_stock"), policy, gather=last > start)
-    return counts.get
+    counts, policy = Observation(), write_policy("out_of_stock", policies)
+    read = read_bronze_json(spark, paths, schema, file_column="_file")
+    read = _own_days(read, policy.partition_by, "_file", lake.bronze_layout)
+    needed = ["date", "product_id"]
+    _write_days(clean(read, needed, observation=counts), lake.silver_path("out_of_stock"), policy, start, last)
+
+    def again() -> dict:
+        null = F.col(needed[0]).isNull() | F.col(needed[1]).isNull()
+        return read.agg(F.count("*").alias("rows_read"), F.count_if(null).alias("rows_dropped_null")).first().asDict()
+
+    return observed(counts, again)
 
 
 GOLD_FACTS = ("orders", "out_of_stock")
 GOLD_DIMENSIONS = ("dim_clients", "dim_products", "dim_stores")
 
 
-def gold_rows(spark: SparkSession, lake: Lake, table: str, start: date, end: date | None = None) -> DataFrame:
+SILVER_SCHEMAS = SHOP_SCHEMAS | {"out_of_stock": OUT_OF_STOCK_SCHEMA}
+
+
+def gold_rows(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    start: date,
+    end: date | None = None,
+    schemas: Mapping[str, T.StructType] = SILVER_SCHEMAS,
+) -> DataFrame:
     """Rows of one gold table from silver: the days of a fact, the whole of a dimension."""
 
     def silver(name: str) -> DataFrame:
-        return read_silver(spark, lake.silver_path(name))
+        # Declared, as a table whose days are all empty has no file to infer from.
+        return read_silver(spark, lake.silver_path(name), schemas[name])
 
     if table == "orders":
         return star.fact_orders(silver("orders"), start, end)
@@ -164,10 +204,20 @@ def gold_rows(spark: SparkSession, lake: Lake, table: str, start: date, end: dat
     raise KeyError(f"no load for gold table {table!r}")
 
 
-def load_gold(spark: SparkSession, lake: Lake, table: str, start: date, end: date | None = None) -> None:
-    """One gold table into the Spark warehouse."""
-    load = load_fact if table in GOLD_FACTS else load_dimension
-    load(gold_rows(spark, lake, table, start, end), lake.gold_database, table)
+def load_gold(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    start: date,
+    end: date | None = None,
+    schemas: Mapping[str, T.StructType] = SILVER_SCHEMAS,
+) -> None:
+    """One gold table into the Spark warehouse; a fact's days without rows become empty."""
+    rows = gold_rows(spark, lake, table, start, end, schemas)
+    if table in GOLD_FACTS:
+        load_fact(rows, lake.gold_database, table, start=start, end=end)
+    else:
+        load_dimension(rows, lake.gold_database, table)
 
 
 def load_gold_jdbc(
@@ -185,16 +235,53 @@ def load_gold_jdbc(
     write_jdbc(gold_rows(spark, lake, table, start, end), url, f"{schema}.{table}", properties, mode)
 
 
+@dataclass(frozen=True)
+class ShopDatabase:
+    """Where a run lands its tables from, and how each is split over tasks."""
+
+    url: str
+    properties: Mapping[str, str]
+    schema: str = "public"
+    read_options: Mapping[str, dict] = field(default_factory=dict)
+
+
 def run_range(
-    spark: SparkSession, lake: Lake, start: date, end: date | None = None, at_once: int = 4
+    spark: SparkSession,
+    lake: Lake,
+    start: date,
+    end: date | None = None,
+    at_once: int = 4,
+    database: ShopDatabase | None = None,
+    tables: Sequence[str] | None = None,
+    schemas: Mapping[str, T.StructType] = SILVER_SCHEMAS,
+    policies: dict[str, WritePolicy] = WRITE_POLICIES,
+    gold_tables: Sequence[str] = GOLD_FACTS + GOLD_DIMENSIONS,
+    multiline: Collection[str] = (),
+    dedupe: bool = True,
 ) -> dict[str, int]:
-    """All silver tables, then all gold tables, for the days ``start`` to ``end``.
+    """Bronze of the shop, then all silver tables, then the gold tables, for the days ``start`` to ``end``.
 
-    Any failure stops the run after its layer, so gold never follows a failed silver.
-    Returns how many rows of the feed were read and dropped.
+    With a ``database`` every table it lists is landed for every day, and taken to silver; without one, bronze has landed before, and
+    ``tables`` (all with a schema) are taken. A table without a write policy or a schema is an error before silver begins. Tables
+    in ``multiline`` hold line breaks in their fields. The feed's bronze is landed by whoever asks for it. Any failure stops the run
+    after its layer, so gold never follows a failed silver. Returns how many rows of the feed were read and dropped.
     """
-    silver = [partial(clean_shop_table, spark, lake, table, start, end) for table in SHOP_SCHEMAS]
-    counts, *_ = _together(spark, [partial(clean_out_of_stock, spark, lake, start, end), *silver], at_once)
-    gold = [partial(load_gold, spark, lake, table, start, end) for table in GOLD_FACTS + GOLD_DIMENSIONS]
-    _together(spark, gold, at_once)
+    if database is not None:
+        listed = {
+            name: None
+            for day in date_range(start, end or start)
+            for name in land_shop(spark, lake, database.url, database.properties, day, database.schema, database.read_options, at_once)
+        }
+        tables = list(listed) if tables is None else tables
+    tables = [t for t in schemas if t != "out_of_stock"] if tables is None else tables
+    for table in tables:
+        write_policy(table, policies)
+        if table not in schemas:
+            raise KeyError(f"no schema for table {table!r}")
+    shop = [
+        partial(clean_shop_table, spark, lake, table, start, end, schemas, policies, dedupe, table in multiline) for table in tables
+    ]
+    feed = partial(clean_out_of_stock, spark, lake, start, end, schemas["out_of_stock"], policies)
+    counts, *_ = _together(spark, [feed, *shop], at_once)
+    _together(spark, [partial(load_gold, spark, lake, table, start, end, schemas) for table in gold_tables], at_once)
     return counts

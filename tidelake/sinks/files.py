@@ -2,23 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, functions as F
+from collections.abc import Callable
+from datetime import date
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F, types as T
 
 from tidelake.schemas import WritePolicy
 from tidelake.sources.files import CSV_DIALECT
 
+# How many tasks write one group of rows where adaptive execution is off.
+TASKS_A_GROUP = 8
+# Nothing is cut: neither blanks at the ends of a text nor digits of a time, and null is not empty.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+CSV_WRITE = CSV_DIALECT | TIMES | {"nullValue": "", "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows with equal ``columns`` in few tasks, large groups still in many.
 
-    Adaptive execution splits what is large; without it a shuffle would put a group
-    in one task whatever its size, so rows stay where they are and make more files.
+    Adaptive execution splits what is large. Without it a group is dealt to at most
+    ``TASKS_A_GROUP`` tasks by a hash of its rows.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return df
+        return df.repartition(*columns, F.pmod(F.xxhash64(*df.columns), F.lit(TASKS_A_GROUP)))
     return df.hint("rebalance", *columns)
 
 
+def observed(observation: Observation, otherwise: Callable[[], dict]) -> dict:
+    """What an observation of a finished write saw.
+
+    Adaptive execution turns a plan that has come out empty into no plan, and its metrics are then missing: ``otherwise``
+    computes them again, which costs little where there is nothing.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return otherwise()
+
+
+def days_of(rows: DataFrame, day: str) -> dict:
+    return {"days": [row[0] for row in rows.select(day).distinct().collect()]}
+
+
+def replace_days(rows: DataFrame, path: str, policy: WritePolicy, start: date, end: date) -> None:
+    """Write the days ``start`` to ``end`` of a table that is partitioned by day; those without rows become empty."""
+    spark, day = rows.sparkSession, policy.partition_by
+    schema, written = rows.schema, Observation()
+    write_table(rows.observe(written, F.collect_set(day).alias("days")), path, policy, gather=end > start)
+    kept = observed(written, lambda: days_of(rows, day))["days"]
+    inside = spark.read.schema(schema).parquet(path).filter(F.col(day).between(F.lit(start), F.lit(end)))
+    rest = T.StructType([f for f in schema if f.name != day])
+    for gone in sorted(set(days_of(inside, day)["days"]) - set(kept)):
+        spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path}/{day}={gone}")
+
+
 def _landing(df: DataFrame) -> DataFrameWriter:
     """Replaces the whole path, or the days that occur if rows have an ``as_of_date``."""
     if "as_of_date" not in df.columns:
@@ -34,7 +72,7 @@ def write_csv(df: DataFrame, path: str, day_column: str | None = None) -> None:
     """
     if day_column:
         df = df.withColumn("as_of_date", F.col(day_column))
-    _landing(df).options(**CSV_DIALECT).csv(path)
+    _landing(df).options(**CSV_WRITE).csv(path)
 
 
 def write_json(df: DataFrame, path: str, wrapped: bool = False, day_column: str | None = None) -> None:
@@ -45,7 +83,7 @@ def write_json(df: DataFrame, path: str, wrapped: bool = False, day_column: str
     array = F.array(F.struct(*df.columns))
     content = F.struct(array.alias("data")) if wrapped else array
     days = [F.col(day_column).alias("as_of_date")] if day_column else []
-    _landing(df.select(F.to_json(content, {"ignoreNullFields": "false"}).alias("value"), *days)).text(path)
+    _landing(df.select(F.to_json(content, {"ignoreNullFields": "false", **TIMES}).alias("value"), *days)).text(path)
 
 
 def write_table(df: DataFrame, path: str, policy: WritePolicy, gather: bool = True) -> None:

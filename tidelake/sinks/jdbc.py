@@ -19,13 +19,14 @@ def write_jdbc(
     """Append to ``table``, or replace its rows.
 
     Replacing truncates: dropping the table would lose its keys and column
-    lengths. ``connections`` bounds how many tasks write at once. Columns are matched
-    by name. An append has no key to recognise a repeated day by; delete the
-    day in the database first, or load the Parquet warehouse.
+    lengths. ``connections`` tasks write at once; what computes the rows keeps its own width. Columns are matched
+    by name. An append has no key to recognise a repeated day by: append to a staging table that is emptied first, and merge it in the
+    database, or load the Parquet warehouse.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
-    options = {"batchsize": str(batch_size), "numPartitions": str(connections), **properties}
+    options = {"batchsize": str(batch_size), **properties}
     if mode == "overwrite":
         options["truncate"] = "true"
-    df.write.jdbc(url, table, mode=mode, properties=options)
+    # As an option of the writer this number would be the last aggregation's too.
+    df.repartition(connections).write.jdbc(url, table, mode=mode, properties=options)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # PostgreSQL writes a quote inside a quoted field twice.
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+# A field without anything is null; a quoted empty one is an empty text. The reader tells them
+# apart only where its null marker is not empty.
+CSV_READ = CSV_DIALECT | {"nullValue": "\u0001", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def date_range(start: date, end: date) -> list[date]:
@@ -33,14 +37,25 @@ def bronze_paths(
     return [bronze_path(root, source, day, extension, layout) for day in date_range(start, end)]
 
 
+def file_day(path: Column, layout: str) -> Column:
+    """The day that a landing file's own name, or its folder's, gives; null if it gives none."""
+    name = re.escape(layout).replace(r"\{day\}", r"(\d{4}-\d{2}-\d{2})").replace(r"\{extension\}", r"\w+")
+    day = F.regexp_extract(path, f".*/{name}(/.*)?$", 1)
+    return F.when(day != "", day).cast("date")
+
+
 def read_bronze_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multiline: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    multiline: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """CSV with a header and a declared schema; a malformed record or other header is an error.
 
-    With ``multiline`` a field may hold line breaks and a file is read by one task,
-    so a day should land as many files; without it files are split. An empty
-    field is null, quoted or not. Booleans may be written ``t`` and ``f``.
+    Files are split over tasks. With ``multiline`` a field may hold line breaks and a file is read by one
+    task, so a large day should land as many files. A field without anything is null, a
+    quoted empty one an empty text. Booleans may be written ``t`` and ``f``. ``file_column`` adds the path of each row's file.
     """
     flags = [f.name for f in schema if isinstance(f.dataType, T.BooleanType)]
     as_text = T.StructType(
@@ -48,10 +63,11 @@ def read_bronze_csv(
     )
     rows = (
         spark.read.schema(as_text)
-        .options(**CSV_DIALECT, multiLine=multiline, enforceSchema=False, mode="FAILFAST")
+        .options(**CSV_READ, multiLine=multiline, enforceSchema=False, mode="FAILFAST")
         .csv(paths)
     )
-    return rows.withColumns({name: F.col(name).cast("boolean") for name in flags})
+    columns = [F.col(f.name).cast("boolean") if f.name in flags else F.col(f.name) for f in schema]
+    return rows.select(*columns, *_path(file_column))
 
 
 def read_bronze_json(
@@ -60,15 +76,22 @@ def read_bronze_json(
     schema: T.StructType,
     wrapped: bool = False,
     multiline: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """JSON arrays of objects, one row per element; ``wrapped`` reads ``{"data": [...]}``.
 
     A value that does not fit ``schema`` becomes null. One array per line, as the
-    feed writes it, lets files be split; ``multiline`` reads pretty-printed files.
+    feed writes it, lets files be split; ``multiline`` reads pretty-printed files. ``file_column`` adds the path of each row's file.
     """
     declared = T.StructType([T.StructField("data", T.ArrayType(schema))]) if wrapped else schema
     rows = spark.read.schema(declared).option("multiLine", multiline).json(paths)
-    return rows.select(F.inline("data")) if wrapped else rows
+    if wrapped:
+        return rows.select(*_path(file_column), F.inline("data")).select(*schema.fieldNames(), *([file_column] if file_column else []))
+    return rows.select(*schema.fieldNames(), *_path(file_column))
+
+
+def _path(name: str | None) -> list[Column]:
+    return [F.col("_metadata.file_path").alias(name)] if name else []
 
 
 def day_slice(df: DataFrame, column: str, start: date, end: date | None = None) -> DataFrame:

@@ -6,35 +6,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.operators.quality import clean
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA
+from tidelake.session import staged
 from tidelake.sinks.files import gathered
 
-# Rows of more days than this are compared with the whole table.
-MAX_LISTED_DAYS = 1000
-
 
 def add_new_rows(rows: DataFrame, path: str, schema: T.StructType, partition_by: str) -> None:
     """Append to the table at ``path`` the distinct rows, free of nulls, it does not hold yet.
 
-    Of the table only the days in ``rows`` are read, and none is rewritten, so a late
+    Of the table only the partitions of the days in ``rows`` are read, and none is rewritten, so a late
     file for a large day costs a read of that day and a small append. Run again after a
-    failure, it finds what was already added.
+    failure, it finds what was already added. The rows are written to the shared folder first, as they are read twice.
     """
     spark = rows.sparkSession
     # Makes the table's folder the first time.
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(partition_by).parquet(path)
-    # Read twice: for its days and for its rows.
-    rows = rows.select(*schema.fieldNames()).dropDuplicates().persist()
-    try:
-        days = [row[0] for row in rows.select(partition_by).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-        if not days:
-            return
-        present = spark.read.schema(schema).parquet(path)
-        if len(days) <= MAX_LISTED_DAYS:
-            present = present.filter(F.col(partition_by).isin(days))
-        fresh = rows.join(present, schema.fieldNames(), "left_anti")
-        gathered(fresh, partition_by).write.partitionBy(partition_by).mode("append").parquet(path)
-    finally:
-        rows.unpersist()
+    rows = staged(rows.select(*schema.fieldNames()).dropDuplicates(), "ingest")
+    present = touched_days(spark.read.schema(schema).parquet(path), rows, partition_by)
+    fresh = rows.join(present, schema.fieldNames(), "left_anti")
+    gathered(fresh, partition_by).write.partitionBy(partition_by).mode("append").parquet(path)
+
+
+def touched_days(table: DataFrame, rows: DataFrame, partition_by: str) -> DataFrame:
+    """``table``'s rows of the days that occur in ``rows``: their partitions alone are listed and read.
+
+    The days, a row for each calendar day, are broadcast; the comparison, true of any day, is what lets Spark prune by them at run time.
+    """
+    days = rows.select(partition_by).filter(F.col(partition_by) >= F.lit("0001-01-01").cast("date")).distinct()
+    return table.join(F.broadcast(days), partition_by, "left_semi")
 
 
 def ingest_feed(
