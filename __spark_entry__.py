@@ -7,7 +7,7 @@ top rename their columns, the queries call the library.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,7 +24,7 @@ from tidelake.operators import (
     totals,
 )
 from tidelake.plans import rental, star
-from tidelake.plans.jobs import Lake, clean_out_of_stock, gold_rows
+from tidelake.plans.jobs import GOLD_FACTS, Lake, clean_out_of_stock, clean_shop_table, gold_rows, run_range
 from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
@@ -386,6 +386,82 @@ def feed_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze_csv(spark, f"{root}/csv", FEED_SCHEMA, multiline=False)
 
 
+def _awkward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with blanks at both ends of a text, empty texts, nulls, and microseconds."""
+    kind = F.col("event_type")
+    text = F.when(kind == "view", "").when(kind != "click", F.concat(F.lit("  "), kind, F.lit(' "x", ')))
+    return _table(spark, sf_dir, "events").select("event_id", text.alias("text"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+def bronze_csv_awkward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, path = _awkward(spark, sf_dir), scratch_dir(spark, "bronze-csv")
+    write_csv(rows, path)
+    return read_bronze_csv(spark, path, rows.schema)
+
+
+def bronze_json_awkward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, path = _awkward(spark, sf_dir), scratch_dir(spark, "bronze-json")
+    write_json(rows, path)
+    return read_bronze_json(spark, path, rows.schema)
+
+
+def _event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as orders of some thirty days, every row twice."""
+    rows = _table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 50).alias("product_id"),
+        F.col("user_id").alias("client_id"),
+        F.length("event_type").cast("bigint").alias("store_id"),
+        (F.col("event_id") % 100).alias("quantity"),
+        F.to_date("ts").alias("order_date"),
+    )
+    return rows.union(rows)
+
+
+def _event_lake(spark: SparkSession, sf_dir: str, database: str = "gold") -> tuple[Lake, date, date]:
+    """A lake in which orders and feed have landed day by day, and its first and last day."""
+    root = scratch_dir(spark, "lake")
+    lake = Lake(f"{root}/bronze", f"{root}/silver", database, bronze_layout=DAY_FOLDERS)
+    feed = _feed(spark, sf_dir)
+    write_csv(_event_orders(spark, sf_dir), f"{lake.bronze}/{lake.source}/orders", day_column="order_date")
+    write_json(feed, f"{lake.bronze}/{lake.feed}", day_column="date")
+    first, last = feed.agg(F.min("date"), F.max("date")).first()
+    return lake, first, last
+
+
+def silver_shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed orders of all days to silver, in one range, and the first day a second time."""
+    lake, first, last = _event_lake(spark, sf_dir)
+    schemas = {"orders": _event_orders(spark, sf_dir).schema}
+    clean_shop_table(spark, lake, "orders", first, last, schemas)
+    clean_shop_table(spark, lake, "orders", first, schemas=schemas)
+    return read_silver(spark, lake.silver_path("orders"), schemas["orders"])
+
+
+def run_range_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and gold of all days in one run: the orders fact."""
+    database = _new_warehouse(spark)
+    lake, first, last = _event_lake(spark, sf_dir, database)
+    schemas = {"orders": _event_orders(spark, sf_dir).schema, "out_of_stock": FEED_SCHEMA}
+    run_range(spark, lake, first, last, schemas=schemas, gold_tables=GOLD_FACTS)
+    return spark.table(f"{database}.orders")
+
+
+def feed_days_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in silver and gold after its second day has come again as an empty list and its third as an error message."""
+    database = _new_warehouse(spark)
+    lake, first, last = _event_lake(spark, sf_dir, database)
+    schemas = {"out_of_stock": FEED_SCHEMA}
+    run_range(spark, lake, first, last, tables=[], schemas=schemas, gold_tables=["out_of_stock"])
+    for n, body in ((1, "[]"), (2, '{"message": "no data"}')):
+        day = first + timedelta(days=n)
+        path = f"{lake.bronze}/{lake.feed}/as_of_date={day}"
+        spark.createDataFrame([(body,)], "value string").write.mode("overwrite").text(path)
+        run_range(spark, lake, day, tables=[], schemas=schemas, gold_tables=["out_of_stock"])
+    silver = read_silver(spark, lake.silver_path("out_of_stock"), FEED_SCHEMA)
+    gold = spark.table(f"{database}.out_of_stock")
+    return silver.withColumn("layer", F.lit("silver")).unionByName(gold.withColumn("layer", F.lit("gold")))
+
+
 def orders_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as landed CSV, cleaned into a table by day, added up for gold."""
     root = scratch_dir(spark, "orders-layers")
@@ -518,6 +594,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_json_round_trip": bronze_json_round_trip,
         "bronze_wrapped_json_round_trip": bronze_wrapped_json_round_trip,
         "feed_csv_landing": feed_csv_landing,
+        "bronze_csv_awkward": bronze_csv_awkward,
+        "bronze_json_awkward": bronze_json_awkward,
+        "silver_shop_orders": silver_shop_orders,
+        "run_range_orders": run_range_orders,
+        "feed_days_corrected": feed_days_corrected,
         "orders_bronze_to_gold": orders_bronze_to_gold,
         "backfill_feed": backfill_feed,
         "warehouse_out_of_stock": warehouse_out_of_stock,
@@ -531,6 +612,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _FEED_SQL = "SELECT CAST(ts AS DATE) AS date, user_id AS product_id FROM events"
+_AWKWARD_SQL = """
+    SELECT event_id, CASE WHEN event_type = 'view' THEN '' WHEN event_type <> 'click' THEN '  ' || event_type || ' "x", ' END AS text, ts
+    FROM events"""
 _CLEAN_FEED_SQL = f"SELECT DISTINCT date, product_id FROM ({_FEED_SQL}) WHERE date IS NOT NULL AND product_id IS NOT NULL"
 _EXCLUSIVE_SQL = """
     SELECT r_regionkey,
@@ -696,6 +780,24 @@ def own_sql() -> dict[str, str]:
         "bronze_json_round_trip": _FEED_SQL,
         "bronze_wrapped_json_round_trip": _FEED_SQL,
         "feed_csv_landing": _FEED_SQL,
+        "bronze_csv_awkward": _AWKWARD_SQL,
+        "bronze_json_awkward": _AWKWARD_SQL,
+        "silver_shop_orders": """
+            SELECT DISTINCT user_id % 50 AS product_id, user_id AS client_id, CAST(length(event_type) AS BIGINT) AS store_id,
+                   event_id % 100 AS quantity, CAST(ts AS DATE) AS order_date
+            FROM events""",
+        "run_range_orders": """
+            SELECT order_date, CAST(client_id AS INTEGER) AS client_id, CAST(product_id AS INTEGER) AS product_id,
+                   CAST(store_id AS INTEGER) AS store_id, CAST(SUM(quantity) AS INTEGER) AS quantity
+            FROM (SELECT DISTINCT user_id % 50 AS product_id, user_id AS client_id, length(event_type) AS store_id,
+                         event_id % 100 AS quantity, CAST(ts AS DATE) AS order_date
+                  FROM events) AS o
+            GROUP BY ALL""",
+        "feed_days_corrected": """
+            SELECT DISTINCT date, product_id, layer
+            FROM (SELECT CAST(ts AS DATE) AS date, user_id AS product_id FROM events) AS e
+            CROSS JOIN (VALUES ('silver'), ('gold')) AS l(layer)
+            WHERE date NOT IN (SELECT CAST(MIN(ts) AS DATE) + n FROM events CROSS JOIN (VALUES (1), (2)) AS v(n) GROUP BY n)""",
         "orders_bronze_to_gold": """
             SELECT order_date, client_id, product_id, store_id, CAST(SUM(quantity) AS BIGINT) AS quantity FROM (
                 SELECT DISTINCT CAST(o_orderdate AS DATE) AS order_date, o_custkey AS client_id,
