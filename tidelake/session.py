@@ -26,6 +26,9 @@ def local_session(cores: int | str = "*", app: str = "tidelake", task_attempts:
     )
 
 
+_MADE: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the shared place that ``spark.checkpoint.dir`` or the context's checkpoint folder names.
 
@@ -36,7 +39,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = f"{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_dir`` has named in this process, once no DataFrame reads them any more; how many there were."""
+    hadoop, removed = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    while _MADE:
+        path = hadoop.Path(_MADE.pop())
+        removed += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
