@@ -1,6 +1,7 @@
 """Scratch folders: where they are, and that they go."""
 
 from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 
@@ -14,12 +15,11 @@ def made(monkeypatch):
     monkeypatch.setattr(session, "_MADE", [])
 
 
-def test_staged_rows_lie_in_the_shared_folder_until_removed(spark, conf, made, tmp_path):
-    conf("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+def test_staged_rows_lie_in_the_shared_folder_until_removed(spark, made):
     rows = staged(spark.range(5), "five")
     assert rows.count() == 5
-    [path] = Path(tmp_path, "shared").iterdir()
-    assert path.name.startswith("five-")
+    path = Path(urlparse(rows.inputFiles()[0]).path).parent
+    assert path.parent == Path(spark.conf.get("spark.checkpoint.dir")) and path.name.startswith("five-")
     assert remove_scratch(spark) == 1 and not path.exists() and remove_scratch(spark) == 0
 
 
