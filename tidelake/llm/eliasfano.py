@@ -8,8 +8,8 @@ from dataclasses import dataclass
 import numpy as np
 
 _ONE = np.uint64(1)
-#: Lookups that are spread into bits at once.
-CHUNK = 1 << 15
+#: Lookups made at once.
+CHUNK = 1 << 16
 
 
 def _words(bits: np.ndarray) -> np.ndarray:
@@ -70,9 +70,17 @@ class Sequence:
             part = rank[start : start + CHUNK]
             word = np.searchsorted(before, part, side="right") - 1
             left = part - before[word]
-            bits = np.unpackbits(self.high[word].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts = np.cumsum(bits if bit else 1 - bits, axis=1, dtype=np.int8)
-            result[start : start + CHUNK] = word * 64 + (counts <= left[:, None]).sum(1)
+            bits = self.high[word] if bit else ~self.high[word]
+            at = np.zeros(len(part), np.uint64)
+            # Halve the word six times, towards the half that holds the bit.
+            for half in (32, 16, 8, 4, 2, 1):
+                inside = np.bitwise_count(bits & np.uint64((1 << half) - 1)).astype(np.int64)
+                beyond = left >= inside
+                left = left - inside * beyond
+                step = beyond * np.uint64(half)
+                bits = bits >> step
+                at += step
+            result[start : start + CHUNK] = word * 64 + at.astype(np.int64)
         return result
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -192,16 +200,19 @@ class Trie:
     def score(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """log10 of the probability of ``second`` after ``first``, both in level 1: the pair's own, or else what the context
         leaves to unseen words, times the word's own."""
-        context, word = self._word(first), self._word(second)
+        contexts, of_context = np.unique(np.asarray(first, np.uint64), return_inverse=True)
+        names, of_word = np.unique(np.asarray(second, np.uint64), return_inverse=True)
+        context, word = self._word(contexts), self._word(names)
         start = self.pointers.get(context).astype(np.int64)
         end = self.pointers.get(context + 1).astype(np.int64)
         base = np.zeros(len(context), np.uint64)
         after = np.flatnonzero((start > 0) & (start < end))
         base[after] = self.successors.get(start[after] - 1)
-        want = base + np.asarray(second, np.uint64) + _ONE
+        want = base[of_context] + names[of_word] + _ONE
         at = self.successors.find(want)
-        near = np.flatnonzero((at >= start) & (at < end))
+        near = np.flatnonzero((at >= start[of_context]) & (at < end[of_context]))
         hit = near[self.successors.get(at[near]) == want[near]]
-        result = self.books[1][self.codes[1][context]] + self.books[0][self.codes[0][word]]
+        left, own = self.books[1][self.codes[1][context]], self.books[0][self.codes[0][word]]
+        result = left[of_context] + own[of_word]
         result[hit] = self.books[2][self.codes[2][at[hit]]]
         return result

@@ -39,27 +39,26 @@ END = np.uint64(0x5DEECE66D1234567)
 _LOWER = np.arange(256, dtype=np.uint16) + 1
 _LOWER[0x41:0x5B] += 32
 _LOWER[BLANK] = 0
-_CODEC = pa.Codec("zstd")
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
     """Integer arrays as bytes, plane by plane, compressed."""
-    parts = [struct.pack("<q", len(arrays))]
+    parts, codec = [struct.pack("<q", len(arrays))], pa.Codec("zstd")
     for a in arrays:
         raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b""
-        body = _CODEC.compress(raw, asbytes=True) if raw else b""
+        body = codec.compress(raw, asbytes=True) if raw else b""
         parts.append(struct.pack("<8s3q", a.dtype.str.encode(), len(a), len(raw), len(body)) + body)
     return b"".join(parts)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    (n,), at, result = struct.unpack_from("<q", data), 8, []
+    (n,), at, result, codec = struct.unpack_from("<q", data), 8, [], pa.Codec("zstd")
     for _ in range(n):
         kind, count, size, body = struct.unpack_from("<8s3q", data, at)
         at += 32
         kind = np.dtype(kind.rstrip(b"\0").decode())
         if count:
-            raw = np.frombuffer(_CODEC.decompress(data[at : at + body], size), np.uint8)
+            raw = np.frombuffer(codec.decompress(data[at : at + body], size), np.uint8)
             result.append(np.ascontiguousarray(raw.reshape(kind.itemsize, count).T).view(kind)[:, 0])
         else:
             result.append(np.empty(0, kind))
@@ -155,8 +154,7 @@ def _number(group: pa.Table) -> pa.Table:
     """A shard's words in order of hash: each block gets their places and counts; one row without a block tells how many there are."""
     parts = [unpack(b) for b in group.column("words").to_pylist()]
     names, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    counts = np.zeros(len(names), np.int64)
-    np.add.at(counts, inverse, np.concatenate([p[1].astype(np.int64) for p in parts]))
+    counts = _sums(inverse, np.concatenate([p[1].astype(np.int64) for p in parts]), len(names))
     ends = np.cumsum([0, *[len(p[0]) for p in parts]])
     places = [inverse[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
     # Places ascend: their steps are small.
@@ -178,9 +176,12 @@ ROUTED = "shard int, block long, ids array<long>, body binary"
 _ROUTED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("body", pa.binary())])
 
 
-def _doc_sums(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+def _sums(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Exact sums of integers by place: in doubles where these hold them, else one by one."""
+    if not len(values) or int(np.abs(values).max()) * len(values) < 1 << 53:
+        return np.bincount(place, values, n).astype(np.int64)
     result = np.zeros(n, np.int64)
-    np.add.at(result, doc, values)
+    np.add.at(result, place, values)
     return result
 
 
@@ -223,7 +224,7 @@ def _pairs(offsets: list[int], total: int, types: int, texts: int, shards: int):
         inside = (count[context] > 0) & (seen > 0)
         alone = ~inside
         outside = _left(count[context[alone]]) + _own(seen[alone], total, types)
-        sums = _doc_sums(doc[alone], np.rint(outside * FIXED).astype(np.int64), n)
+        sums = _sums(doc[alone], np.rint(outside * FIXED).astype(np.int64), n)
         key = (context[inside] << 32) | tokens[inside]
         order = np.argsort(key, kind="stable")
         key, whose = key[order], doc[inside][order]
@@ -295,8 +296,7 @@ def _look_up(total: int, types: int):
             width = max(1, int(len(words)).bit_length())
             keys = [(w[p[2]] << width) | w[p[3]] for w, (_, p) in zip(place, asked, strict=True)]
             pairs, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            times = np.zeros(len(pairs), np.int64)
-            np.add.at(times, inverse, np.concatenate([p[4].astype(np.int64) for _, p in asked]))
+            times = _sums(inverse, np.concatenate([p[4].astype(np.int64) for _, p in asked]), len(pairs))
             first, second = pairs >> width, pairs & ((1 << width) - 1)
             seen = times > 0
             built = build_trie(words, counts, first[seen], second[seen], times[seen], total, types).to_bytes()
@@ -310,7 +310,7 @@ def _look_up(total: int, types: int):
             for (block, p), key in zip(asked, keys, strict=True):
                 mine = score[inverse[at : at + len(key)]]
                 at += len(key)
-                sums = _doc_sums(p[6].astype(np.int64), np.repeat(mine, p[5]) * p[7], int(p[6].max()) + 1)
+                sums = _sums(p[6].astype(np.int64), np.repeat(mine, p[5]) * p[7], int(p[6].max()) + 1)
                 texts = np.flatnonzero(sums)
                 # log10 probabilities are below 0.
                 result.append((0, block, None, pack([_small(np.diff(texts, prepend=0)), _small(-sums[texts])])))
