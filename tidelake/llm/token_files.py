@@ -9,7 +9,6 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,8 @@ BLOCK = 4 << 20
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-@lru_cache(maxsize=4)
 def tokenizer(ranks_path: str):
-    """A byte-level BPE tokenizer from its rank file, once for each worker."""
+    """A byte-level BPE tokenizer from its rank file."""
     import tiktoken
 
     with open(ranks_path, "rb") as file:
