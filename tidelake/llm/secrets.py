@@ -20,6 +20,13 @@ WEAK = (
     ("secret_part", r"[A-Za-z0-9+/]{32,}={0,2}", 0, 32),
     ("endpoint", r"""https?://[^\x20\x09-\x0D"'<>]{4,}""", 0, 12),
 )
+#: What a match holds one of, in lower case: texts without any need no pattern. Kinds without an entry have no such words.
+HINTS = {
+    "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
+    "access": ("akia",),
+    "id_part": ("client", "account", "tenant", "user", "access", "key"),
+    "endpoint": ("://",),
+}
 KINDS = [kind for kind, *_ in (*BASE, *WEAK)]
 #: What a span is a part of.
 ROLE = {"assign": "secret", "hex": "secret", "secret_part": "secret", "access": "id", "id_part": "id", "endpoint": "endpoint"}
@@ -27,9 +34,18 @@ ROLE = {"assign": "secret", "hex": "secret", "secret_part": "secret", "access":
 REACH = 256
 
 
+def _hinted(kind: str, low: Column) -> Column:
+    """Whether a text, given in lower case, can have a match."""
+    hint = F.lit(kind not in HINTS)
+    for words in HINTS.get(kind, ()):
+        hint = hint | F.contains(low, F.lit(words))
+    return hint
+
+
 def _occurrences(kind: str, pattern: str, group: int, least: int) -> Column:
-    """The matches in ``text`` and what stands before each, whether or not they are long enough."""
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    """The matches in ``text`` and what stands before each, whether or not they are long enough; ``low`` is the text in lower case."""
+    matches = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    found = F.when(_hinted(kind, F.col("low")), matches).otherwise(F.array().cast("array<string>"))
     before = F.when(F.size(found) > 0, F.split("text", pattern, -1))
 
     def match(m: Column, i: Column, gaps: Column) -> Column:
@@ -100,7 +116,7 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     where the other parts of a credential stand near. ``text_key`` is the text's md5. A null or empty text has no spans; rows
     repeated or without an id are rows of their own; other columns are ignored. Texts are read once and not shuffled.
     """
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text")).withColumn("low", F.lower("text"))
     nothing = F.lit(None).cast("struct<kind:int,nth:int,gap:int,size:int,ok:boolean>")
     # The null in front keeps a row for each text. Written once, so that row numbers stay.
     every = F.concat(F.array(nothing), *[_occurrences(*k) for k in (*BASE, *WEAK)])
@@ -131,8 +147,8 @@ def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]") -> DataF
     spans = find_secrets(docs, reach).filter(F.size("spans") > 0)
     spans = spans.groupBy(F.col("text_key").alias("found_key")).agg(F.first("spans").alias("found_spans"))
     maybe = F.lit(False)
-    for _, pattern, *_ in (*BASE, *WEAK):
-        maybe = maybe | whole("text").rlike(pattern)
+    for kind, pattern, *_ in (*BASE, *WEAK):
+        maybe = maybe | (_hinted(kind, F.lower(whole("text"))) & whole("text").rlike(pattern))
     held, clean = docs.filter(maybe), docs.filter(~maybe)
     joined = held.join(spans, F.md5(whole(held["text"])) == spans["found_key"], "left")
     text = held["text"]
