@@ -46,7 +46,6 @@ def _occurrences(kind: str, pattern: str, group: int, least: int) -> Column:
     """The matches in ``text`` and what stands before each, whether or not they are long enough; ``low`` is the text in lower case."""
     matches = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     found = F.when(_hinted(kind, F.col("low")), matches).otherwise(F.array().cast("array<string>"))
-    before = F.when(F.size(found) > 0, F.split("text", pattern, -1))
 
     def match(m: Column, i: Column, gaps: Column) -> Column:
         ok = F.length(F.regexp_extract(m, pattern, group)) >= least
@@ -60,9 +59,12 @@ def _occurrences(kind: str, pattern: str, group: int, least: int) -> Column:
             ok.alias("ok"),
         )
 
-    # A lambda's argument is computed once, not again for each match.
-    both = F.array(F.struct(found.alias("found"), before.alias("gaps")))
-    return F.get(F.transform(both, lambda p: F.transform(p["found"], lambda m, i: match(m, i, p["gaps"]))), F.lit(0))
+    # A lambda's argument is computed once, where an expression is again at each mention.
+    def with_gaps(f: Column) -> Column:
+        return F.struct(f.alias("found"), F.when(F.size(f) > 0, F.split("text", pattern, -1)).alias("gaps"))
+
+    both = F.transform(F.array(found), with_gaps)
+    return F.flatten(F.transform(both, lambda p: F.transform(p["found"], lambda m, i: match(m, i, p["gaps"]))))
 
 
 def _parts(matches: DataFrame) -> DataFrame:
@@ -118,10 +120,11 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text")).withColumn("low", F.lower("text"))
     nothing = F.lit(None).cast("struct<kind:int,nth:int,gap:int,size:int,ok:boolean>")
-    # The null in front keeps a row for each text. Written once, so that row numbers stay.
+    # The null in front keeps a row for each text, so that no outer row is ever made: it is the outer form because Spark puts a filter
+    # before the inner one, which would scan the texts twice. Written once, so that row numbers stay.
     every = F.concat(F.array(nothing), *[_occurrences(*k) for k in (*BASE, *WEAK)])
     matches = rows.select("doc_id", "row", F.md5("text").alias("text_key"), every.alias("matches"))
-    matches = staged(matches.select("doc_id", "row", "text_key", F.explode("matches").alias("match")), "secret-matches")
+    matches = staged(matches.select("doc_id", "row", "text_key", F.explode_outer("matches").alias("match")), "secret-matches")
     parts = _parts(matches)
     spans = parts.filter("strong").select("row", "kind", "start", "end").union(_linked(parts, reach))
     span = F.struct("start", "kind", "end").alias("span")
