@@ -3,6 +3,7 @@
 import random
 import re
 
+import corpus_pipeline
 from tidelake.llm import secrets
 
 
@@ -78,3 +79,26 @@ def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id bigint, text string")
     assert secrets.find_secrets(frame).count() == 0
     assert secrets.redact(frame).count() == 0
+
+
+KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+TWO_PART = [
+    f"aws_access_key_id = ASIAQ7Q7Q7Q7Q7Q7Q7Q7\naws_secret_access_key = {KEY}",
+    f"client_id: acme-77 and {KEY}",
+    f"{KEY} {'x ' * 100}user_id=bob1",
+]
+ONE_PART = [f"client_id: acme-77 {'x ' * 200}{KEY}", f"only {KEY}", "user_id=bob1", f"{KEY} https://host.org/path", "user_id=bob1 at https://host.org/path"]
+
+
+def test_credentials_of_two_parts(spark):
+    """An identifier beside a secret, without an endpoint; neither alone, nor with an endpoint only, nor out of reach."""
+    docs = spark.createDataFrame(list(enumerate(TWO_PART + ONE_PART)), "doc_id bigint, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(docs, two_part=True).collect()}
+    assert got == {n: sorted(brute_parts(t)) if t in TWO_PART else [] for n, t in enumerate(TWO_PART + ONE_PART)}
+
+
+def test_pipeline_redacts_credentials_of_two_parts(spark):
+    docs = spark.createDataFrame(list(enumerate(TWO_PART + ONE_PART)), "doc_id bigint, text string")
+    got = [r.text for r in corpus_pipeline.secret_scans(spark, docs, "").orderBy("doc_id").collect()]
+    assert got[:2] == ["aws_access_[secret]\naws_secret_access_key = [secret]", "[secret] and [secret]"]
+    assert got[2] == f"[secret] {'x ' * 100}[secret]" and got[3:] == ONE_PART

@@ -80,11 +80,11 @@ def _parts(matches: DataFrame) -> DataFrame:
     return each.filter("ok").select("row", "kind", (F.col("end") - F.col("size")).alias("start"), "end", strong.alias("strong"))
 
 
-def _linked(parts: DataFrame, reach: int) -> DataFrame:
+def _linked(parts: DataFrame, reach: int, two_part: bool) -> DataFrame:
     """The weak candidates that complementary parts stand beside.
 
     One counts if, within ``reach`` code points of the same text, there is a strong part of another role, or weak parts
-    of both other roles. An interval join on cells of ``reach`` code points: a cell holds one row for each role and
+    of both other roles; with ``two_part`` an identifier and a secret count beside each other without an endpoint, too. An interval join on cells of ``reach`` code points: a cell holds one row for each role and
     strength, with the first start and last end in it, so parts are met without listing pairs.
     """
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind") + 1)
@@ -104,18 +104,21 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
     met = weak.join(near, ["row", "cell"]).filter(
         (F.col("role") != F.col("near_role")) & (F.col("first") <= high) & (F.col("last") >= F.col("start") - reach)
     )
+    couple = (F.col("role") != "endpoint") & (F.col("near_role") != "endpoint")
     beside = met.groupBy("row", "kind", "start", "end").agg(
-        F.max("near_strong").alias("any_strong"), F.count_distinct("near_role").alias("roles")
+        F.max("near_strong").alias("any_strong"), F.count_distinct("near_role").alias("roles"), F.max(couple).alias("couple")
     )
-    return beside.filter("any_strong OR roles = 2").select("row", "kind", "start", "end")
+    linked = F.expr("any_strong OR roles = 2")
+    return beside.filter(linked | F.col("couple") if two_part else linked).select("row", "kind", "start", "end")
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def find_secrets(docs: DataFrame, reach: int = REACH, two_part: bool = False) -> DataFrame:
     """``doc_id, text_key, spans`` for every row of ``docs``; spans are ``(start, kind, end)``, by start, then kind.
 
     ``start`` and ``end`` (exclusive) count code points of the whole text, ``kind`` numbers ``KINDS``. Base kinds are the leftmost
     matches of each pattern that do not overlap, without those that are too short. The weak kinds are in it only
-    where the other parts of a credential stand near. ``text_key`` is the text's md5. A null or empty text has no spans; rows
+    where the other parts of a credential stand near: all three parts or a base kind, and with ``two_part`` also an identifier and
+    a secret alone. ``text_key`` is the text's md5. A null or empty text has no spans; rows
     repeated or without an id are rows of their own; other columns are ignored. Texts are read once and not shuffled.
     """
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text")).withColumn("low", F.lower("text"))
@@ -126,7 +129,7 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     matches = rows.select("doc_id", "row", F.md5("text").alias("text_key"), every.alias("matches"))
     matches = staged(matches.select("doc_id", "row", "text_key", F.explode_outer("matches").alias("match")), "secret-matches")
     parts = _parts(matches)
-    spans = parts.filter("strong").select("row", "kind", "start", "end").union(_linked(parts, reach))
+    spans = parts.filter("strong").select("row", "kind", "start", "end").union(_linked(parts, reach, two_part))
     span = F.struct("start", "kind", "end").alias("span")
     texts = matches.filter("match IS NULL").select("row", "doc_id", "text_key", F.lit(None).cast("struct<start:int,kind:int,end:int>").alias("span"))
     both = texts.union(spans.select("row", F.lit(None).alias("doc_id"), F.lit(None).alias("text_key"), span))
@@ -141,13 +144,13 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]", two_part: bool = False) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; overlapping spans are one.
 
     Texts without spans, null ones included, stay as they are, and so do all other columns; ``n_chars``, where there is such
     a column, follows. Only texts in which some pattern matches are shuffled.
     """
-    spans = find_secrets(docs, reach).filter(F.size("spans") > 0)
+    spans = find_secrets(docs, reach, two_part).filter(F.size("spans") > 0)
     spans = spans.groupBy(F.col("text_key").alias("found_key")).agg(F.first("spans").alias("found_spans"))
     maybe = F.lit(False)
     for kind, pattern, *_ in (*BASE, *WEAK):
