@@ -159,6 +159,38 @@ def test_gold_over_jdbc_appends_facts_and_replaces_dimensions(spark, lakes, monk
     }
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_orders_without_a_day_stay(spark, lakes, tmp_path, conf, adaptive):
+    """Once for each file that holds them, however often its day runs, until the file no longer does."""
+    conf("spark.sql.adaptive.enabled", adaptive)
+    lake = lakes("undated")
+    path, schema = lake.silver_path("orders"), SHOP_SCHEMAS["orders"]
+    files = [tmp_path / "bronze" / "shop" / "orders" / f"{day}.csv" for day in DAYS]
+    whole = [f.read_text() for f in files]
+
+    def undated():
+        return sorted(r["quantity"] for r in read_silver(spark, path, schema).filter("order_date IS NULL").collect())
+
+    for f, text, lines in zip(files, whole, ("7,1,1,1,\n7,1,1,1,\n", "7,1,1,1,\n7,1,1,2,\n", ""), strict=True):
+        f.write_text(text + lines)
+    clean_shop_table(spark, lake, "orders", DAYS[0])
+    assert undated() == [1]
+    for _ in range(2):
+        clean_shop_table(spark, lake, "orders", DAYS[1], DAYS[2])
+        assert undated() == [1, 1, 2]
+    clean_shop_table(spark, lake, "orders", DAYS[0], DAYS[-1])
+    assert undated() == [1, 1, 2]
+    assert read_silver(spark, path, schema).filter("order_date IS NOT NULL").count() == 12
+    clean_shop_table(spark, lake, "orders", DAYS[0], dedupe=False)
+    assert undated() == [1, 1, 1, 2]
+    files[1].write_text(whole[1])
+    clean_shop_table(spark, lake, "orders", DAYS[1])
+    assert undated() == [1, 1]
+    files[0].write_text(whole[0])
+    clean_shop_table(spark, lake, "orders", DAYS[0])
+    assert undated() == [] and read_silver(spark, path, schema).count() == 12
+
+
 BODIES = ["[]", '{"message": "no out_of_stock items for this date"}', '[{"date": null, "product_id": 4}, {"date": "2021-01-02", "product_id": null}]', ""]
 
 

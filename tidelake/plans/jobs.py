@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tidelake.operators.quality import clean
 from tidelake.plans import star
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WRITE_POLICIES, WritePolicy, write_policy
-from tidelake.sinks.files import observed, replace_days, write_csv, write_table
+from tidelake.sinks.files import FILE_DAY, observed, replace_days, write_csv, write_table
 from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
 from tidelake.sources.files import DAY_FILES, bronze_paths, date_range, file_day, read_bronze_csv, read_bronze_json, read_silver
@@ -120,7 +120,8 @@ def clean_shop_table(
 ) -> None:
     """Bronze CSV of a table to silver, full rows once.
 
-    Of a table that each day replaces as a whole, only the last day is read. Of one by day, a day without rows becomes empty.
+    Of a table that each day replaces as a whole, only the last day is read. Of one by day, a day without rows becomes empty. Rows
+    without a day stay, in the partition of null, and are replaced with the day of their file.
     """
     policy = write_policy(table, policies)
     source, last = f"{lake.source}/{table}", end or start
@@ -132,7 +133,9 @@ def clean_shop_table(
         write_table(rows, lake.silver_path(table), policy, gather=last > start)
         return
     rows = read_bronze_csv(spark, paths, schemas[table], multiline, file_column="_file")
-    rows = clean(_own_days(rows, policy.partition_by, "_file", lake.bronze_layout), [policy.partition_by], dedupe=dedupe)
+    if policy.mode == "append":
+        rows = rows.withColumn(FILE_DAY, F.when(F.col(policy.partition_by).isNull(), file_day(F.col("_file"), lake.bronze_layout)))
+    rows = clean(_own_days(rows, policy.partition_by, "_file", lake.bronze_layout), dedupe=dedupe)
     _write_days(rows, lake.silver_path(table), policy, start, last)
 
 

@@ -9,8 +9,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F, types as T
 
 from tidelake.schemas import WritePolicy
+from tidelake.session import staged
 from tidelake.sources.files import CSV_DIALECT
 
+#: The day of the file that a row without a day came in; in silver only files of such rows have it.
+FILE_DAY = "_file_day"
 # How many tasks write one group of rows where adaptive execution is off.
 TASKS_A_GROUP = 8
 # Nothing is cut: neither blanks at the ends of a text nor digits of a time, and null is not empty.
@@ -46,17 +49,42 @@ def days_of(rows: DataFrame, day: str) -> dict:
 
 
 def replace_days(rows: DataFrame, path: str, policy: WritePolicy, start: date, end: date) -> None:
-    """Write the days ``start`` to ``end`` of a table that is partitioned by day; those without rows become empty."""
+    """Write the days ``start`` to ``end`` of a table that is partitioned by day; those without rows become empty.
+
+    Rows without a day are told apart by ``FILE_DAY``, if ``rows`` have it: those of files of these days are replaced.
+    """
     spark, day = rows.sparkSession, policy.partition_by
-    schema, written = rows.schema, Observation()
-    write_table(rows.observe(written, F.collect_set(day).alias("days")), path, policy, gather=end > start)
-    kept = observed(written, lambda: days_of(rows, day))["days"]
+    undated = rows.filter(F.col(day).isNull()) if FILE_DAY in rows.columns else None
+    rows, written = rows.drop(FILE_DAY), Observation()
+    schema = rows.schema
+    seen = rows.observe(written, F.collect_set(day).alias("days"), F.count_if(F.col(day).isNull()).alias("undated"))
+    write_table(seen if undated is None else seen.filter(F.col(day).isNotNull()), path, policy, gather=end > start)
+    found = observed(written, lambda: days_of(rows, day) | {"undated": 0 if undated is None else undated.count()})
+    kept = [d for d in found["days"] if d is not None]
+    if undated is not None:
+        _replace_undated(undated, found["undated"], path, policy, start, end)
     inside = spark.read.schema(schema).parquet(path).filter(F.col(day).between(F.lit(start), F.lit(end)))
     rest = T.StructType([f for f in schema if f.name != day])
     for gone in sorted(set(days_of(inside, day)["days"]) - set(kept)):
         spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path}/{day}={gone}")
 
 
+def _replace_undated(undated: DataFrame, n: int, path: str, policy: WritePolicy, start: date, end: date) -> None:
+    """Write the ``n`` rows without a day; those held from files of other days than ``start`` to ``end`` stay."""
+    spark, day = undated.sparkSession, policy.partition_by
+    held = spark.read.schema(undated.schema).parquet(path).filter(F.col(day).isNull())
+    gone = F.col(FILE_DAY).between(F.lit(start), F.lit(end))
+    if not n and held.filter(gone).isEmpty():
+        return
+    # Written first, as the partition is read and replaced.
+    after = staged(held.filter(~F.coalesce(gone, F.lit(False))).unionByName(undated), "undated")
+    if after.isEmpty():
+        rest = T.StructType([f for f in undated.schema if f.name != day])
+        spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path}/{day}=__HIVE_DEFAULT_PARTITION__")
+    else:
+        write_table(after, path, policy, gather=False)
+
+
 def _landing(df: DataFrame) -> DataFrameWriter:
     """Replaces the whole path, or the days that occur if rows have an ``as_of_date``."""
     if "as_of_date" not in df.columns:
