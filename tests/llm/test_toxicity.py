@@ -55,6 +55,28 @@ def test_interaction():
     assert (got == np.array(labels[1200:], bool)).mean() > 0.95
 
 
+def test_interaction_of_rare_words():
+    """Words that tell in pairs alone, rarer than 200 common terms, amid thousands of others."""
+    r = random.Random(0)
+    common = [f"stop{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(100)]
+    others = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(3000)]
+    texts, labels = [], []
+    for n in range(4000):
+        words = r.sample(common, 25) + [r.choice(others) for _ in range(15)]
+        first, second = n // 5 % 2, n // 10 % 2
+        if n % 5 < 2:
+            words += ["scoundrel" if first else "friend", "villagers" if second else "weather"]
+            labels.append(int(first == second))
+        else:
+            words.append("awful" if first else "lovely")
+            labels.append(first)
+        r.shuffle(words)
+        texts.append(" ".join(words))
+    got = scores(learn(texts[:3000], labels[:3000]), texts[3000:]) >= 0.5
+    in_pairs = np.arange(3000, 4000) % 5 < 2
+    assert (got == np.array(labels[3000:], bool))[in_pairs].mean() > 0.95
+
+
 def test_held_out_accuracy_and_repeatability(spark):
     docs, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)

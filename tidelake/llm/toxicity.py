@@ -16,17 +16,19 @@ from tidelake.llm.common import held_out, whole, with_labels
 PREFIXES = (None, 4, 5, 6)
 #: Most labelled documents that the model learns from, those with the smallest hash of their id.
 SAMPLE = 8192
-#: Terms with a weight: at most so many that tell the labels of the sample alone, and the most common, which may tell in pairs.
-TERMS, LEAST_TEXTS, LEAST_GAIN, COMMON = 2048, 4, 6, 256
-FACTORS, EPOCHS, BATCH, RATE, DECAY, SEED = 8, 40, 64, 0.02, 2e-3, 11
-#: Slots of the table that passes the hashes worth looking up.
-SLOTS = 1 << 20
+FACTORS, EPOCHS, BATCH, RATE, SEED = 8, 40, 64, 0.02, 11
+#: Slots that the terms are hashed into, each with a weight and factors.
+SLOTS = 1 << 18
+#: What an epoch takes from each weight and from the length of each slot's factors, before Adagrad's scale.
+LESS_WEIGHT, LESS_FACTORS = 0.02, 0.2
+#: Adagrad's first scales, for each term of a mean text: many terms move together.
+FIRST_WEIGHT, FIRST_FACTORS = 2e-4, 2.4e-4
 
 
 def _term_hashes(values: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-    """32-bit hashes of the words, then of each prefix; a word and its own prefix are terms of their own."""
+    """Slots of the words, then of each prefix; a word and its own prefix are terms of their own."""
     for n, prefix in enumerate(PREFIXES):
-        yield (word_hashes(values, starts, prefix) >> np.uint64(32)).astype(np.uint32) + np.uint32(n)
+        yield (word_hashes(values, starts, prefix) >> np.uint64(32)).astype(np.uint32) + np.uint32(n) & np.uint32(SLOTS - 1)
 
 
 def _distinct_terms(column) -> list[np.ndarray]:
@@ -70,57 +72,86 @@ class Machine:
         return self.bias + linear + cross / 2
 
 
-def _telling(terms: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """The terms whose texts' labels depart most from the sample's share, by their likelihood ratio, and the most common terms."""
-    names, texts = np.unique(terms, return_counts=True)
-    bad_names, bad_texts = np.unique(terms[labels[rows] == 1], return_counts=True)
-    bad = np.zeros(len(names))
-    bad[np.searchsorted(names, bad_names)] = bad_texts
-    prior = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    share = np.clip(bad / texts, 1e-9, 1 - 1e-9)
-    gain = texts * (share * np.log(share / prior) + (1 - share) * np.log((1 - share) / (1 - prior)))
-    gain[texts < min(LEAST_TEXTS, max(1, labels.sum() / 8))] = 0
-    best = np.lexsort((names, -gain))[:TERMS]
-    common = np.lexsort((names, -texts))[: min(COMMON, len(labels) // 16)]
-    return np.union1d(names[best[gain[best] > LEAST_GAIN]], names[common])
+@dataclass
+class _Batch:
+    """Some texts as sparse rows: ``slots`` that occur, ``places`` in them row by row, and the rows of each slot one after the other."""
+
+    texts: np.ndarray
+    full: np.ndarray
+    slots: np.ndarray
+    places: np.ndarray
+    heads: np.ndarray
+    rows: np.ndarray
+    slot_heads: np.ndarray
+
+    @classmethod
+    def of(cls, texts: np.ndarray, terms: list[np.ndarray], names: np.ndarray) -> _Batch:
+        sizes = np.array([len(t) for t in terms])
+        slots, places = np.unique(np.concatenate(terms), return_inverse=True)
+        by = np.argsort(places, kind="stable")
+        rows = np.repeat(np.arange(len(terms)), sizes)[by].astype(np.int32)
+        full = np.flatnonzero(sizes)
+        heads = (np.cumsum(sizes) - sizes)[full]
+        return cls(texts, full, np.searchsorted(names, slots), places.astype(np.int32), heads, rows, np.searchsorted(places[by], np.arange(len(slots))))
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        sums = np.zeros((len(self.texts), *values.shape[1:]))
+        if len(self.full):
+            sums[self.full] = np.add.reduceat(values[self.places], self.heads, axis=0)
+        return sums
+
+    def by_slot(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values[self.rows], self.slot_heads, axis=0) if len(self.slots) else values[:0]
 
 
 def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Adagrad on the labels' cross-entropy; label 1, the rarer, weighs up to four times. Equal input gives an equal model."""
+    """Adagrad on the labels' cross-entropy; label 1, the rarer, weighs up to four times. Equal input gives an equal model.
+
+    Every slot that occurs learns a weight and factors, by the texts it is in; each epoch shrinks all of them, and slots
+    that come out without either are left out.
+    """
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
     bias = float(np.log(share / (1 - share)))
-    rows = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
-    all_terms = np.concatenate(texts) if len(texts) else np.empty(0, np.uint32)
-    terms = _telling(all_terms, rows, labels) if len(labels) and labels.min() < labels.max() else np.empty(0, np.uint32)
+    told = len(labels) and labels.min() < labels.max()
+    used = np.zeros(SLOTS, bool)
+    for t in texts if told else []:
+        used[t] = True
+    names = np.flatnonzero(used).astype(np.uint32)
+    mean = max(1.0, sum(len(t) for t in texts) / max(1, len(texts)))
     rng = np.random.default_rng(SEED)
-    model = Machine(terms, np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS)), bias)
-    if not len(terms):
-        return model
-    some, places = model.places(all_terms)
-    x = np.zeros((len(texts), len(terms)), np.uint8)
-    x[rows[some], places] = 1
-    decay = DECAY * max(1.0, 4096 / len(labels))
+    # Small enough that the pairs of a mean text nearly cancel out.
+    factors = rng.normal(0, min(0.05, np.sqrt(0.1 / mean)), (len(names), FACTORS)).astype(np.float32)
+    weights = np.zeros(len(names))
+    if not len(names):
+        return Machine(names, weights, factors, bias)
     cost = np.where(labels == 1, min(4.0, (1 - share) / share), 1.0)
-    sums = {"w": np.full(len(terms), 1e-6), "v": np.full(model.factors.shape, 1e-6), "b": 1e-6}
+    order = rng.permutation(len(texts))
+    parts = [order[start : start + BATCH] for start in range(0, len(order), BATCH)]
+    batches = [_Batch.of(part, [texts[k] for k in part], names) for part in parts]
+    weight_sums = np.full(len(names), (FIRST_WEIGHT * mean) ** 2)
+    factor_sums = np.full(factors.shape, (FIRST_FACTORS * mean) ** 2, np.float32)
+    bias_sum = 1e-2
     for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for start in range(0, len(order), BATCH):
-            part = order[start : start + BATCH]
-            h = x[part].astype(np.float64)
-            inner = h @ model.factors
-            logit = model.bias + h @ model.weights + ((inner**2) - h @ model.factors**2).sum(1) / 2
-            delta = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[part]) * cost[part] / len(part)
-            dw = h.T @ delta + decay * model.weights / 10
+        for number in rng.permutation(len(batches)):
+            b = batches[number]
+            w, v = weights[b.slots], factors[b.slots]
+            inner = b.by_text(v)
+            logit = bias + b.by_text(w) + ((inner**2).sum(1) - b.by_text((v**2).sum(1))) / 2
+            delta = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[b.texts]) * cost[b.texts] / len(b.texts)
             # d logit / d v_if = x_i (sum_j v_jf x_j - v_if x_i); x is 0 or 1.
-            dv = h.T @ (delta[:, None] * inner) - (h.T @ delta)[:, None] * model.factors + decay * model.factors
-            db = delta.sum()
-            sums["w"] += dw**2
-            sums["v"] += dv**2
-            sums["b"] += db**2
-            model.weights -= 5 * RATE * dw / np.sqrt(sums["w"])
-            model.factors -= RATE * dv / np.sqrt(sums["v"])
-            model.bias -= RATE * db / np.sqrt(sums["b"])
-    return model
+            sums = b.by_slot(np.column_stack([delta, delta[:, None] * inner]).astype(np.float32))
+            dw, dv, db = sums[:, 0].astype(np.float64), sums[:, 1:] - sums[:, :1] * v, delta.sum()
+            weight_sums[b.slots] += dw**2
+            factor_sums[b.slots] += dv**2
+            bias_sum += db**2
+            weights[b.slots] -= 5 * RATE * dw / np.sqrt(weight_sums[b.slots])
+            factors[b.slots] -= RATE * dv / np.sqrt(factor_sums[b.slots])
+            bias -= RATE * db / np.sqrt(bias_sum)
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - 5 * RATE * LESS_WEIGHT / np.sqrt(weight_sums), 0)
+        length = np.sqrt((factors**2).sum(1)) + 1e-12
+        factors *= np.maximum(0, 1 - RATE * LESS_FACTORS / np.sqrt(factor_sums.mean(1)) / length)[:, None]
+    left = np.flatnonzero((weights != 0) | (factors != 0).any(1))
+    return Machine(names[left], weights[left], factors[left], float(bias))
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
