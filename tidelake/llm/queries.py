@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, tool_calls, toxicity
+from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, token_index, tool_calls, toxicity
 from tidelake.llm.common import WORD, held_out
 from tidelake.session import scratch_dir
 
 #: The tokenizer's rank file, and an identifier that it leaves free.
 RANKS, SEPARATOR = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 50256
+#: The tokenizer of the token index, and the id that closes a document there.
+TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,6 +244,13 @@ def op10_sql() -> str:
         FROM d LEFT JOIN told USING (doc_id)"""
 
 
+def op13_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to shards of ids; each one's place is asked of the key index, and its ids are read there."""
+    folder = scratch_dir(spark, "token-index")
+    keys = token_index.write(_documents(spark, sf_dir), folder, TOKENIZER, END)
+    return token_index.checksums(spark, folder, keys).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_mixing,
@@ -253,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_benchmark_decontamination,
         op9_lm_scoring,
         op10_secret_scans,
+        op13_token_index,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
