@@ -7,7 +7,7 @@ import pytest
 
 from tidelake.llm import queries
 
-TABLES = ["documents", "benchmark", "labels", "conversations"]
+TABLES = ["documents", "benchmark", "labels", "conversations", "embeddings"]
 
 
 @pytest.mark.parametrize("sf", os.environ.get("LLM_TWIN_SF", "sf0.001").split(","))

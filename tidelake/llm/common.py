@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Runs of anything but the six ASCII blanks.
@@ -73,3 +75,18 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     return raw[offsets[0] : offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Runs of rows that share a value, one value at a time."""
+
+    def parts() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            values = batch.column(column).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+            for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                if stop > start:
+                    yield int(values[start]), batch.slice(start, stop - start)
+
+    for value, run in groupby(parts(), key=lambda p: p[0]):
+        yield value, (p[1] for p in run)

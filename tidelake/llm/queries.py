@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidelake.llm import decontaminate, editprint, lm, mixing, quality, secrets, simhash, token_files, token_index, tool_calls, toxicity
+from tidelake.llm import decontaminate, editprint, lm, mixing, negatives, quality, secrets, simhash, token_files, token_index, tool_calls, toxicity, variants
 from tidelake.llm.common import WORD, held_out
 from tidelake.session import scratch_dir
 
@@ -244,6 +244,39 @@ def op10_sql() -> str:
         FROM d LEFT JOIN told USING (doc_id)"""
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", label.alias("label"), negatives.quantised(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    positives AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INTEGER) AS positive_rank
+        FROM scores WHERE same QUALIFY positive_rank <= 5)
+    SELECT anchor_id, p.vec_id AS positive_id, positive_rank,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_rank ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+        n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scores n USING (anchor_id)
+    WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = variants.word_counts(_documents(spark, sf_dir), least_chars=7, least_n=2, drop_every=31)
+    return variants.group_variants(counts, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to shards of ids; each one's place is asked of the key index, and its ids are read there."""
     folder = scratch_dir(spark, "token-index")
@@ -263,10 +296,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_benchmark_decontamination,
         op9_lm_scoring,
         op10_secret_scans,
+        op11_hard_negatives,
+        op12_spelling_variants,
         op13_token_index,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op6_tool_calls": OP6_SQL, "op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql()}
+    return {"op1_mixing": OP1_SQL, "op6_tool_calls": OP6_SQL, "op8_benchmark_decontamination": OP8_SQL, "op10_secret_scans": op10_sql(), "op11_hard_negatives": OP11_SQL}

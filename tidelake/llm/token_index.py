@@ -15,7 +15,7 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, groupby, islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelake.llm.common import cut, whole
+from tidelake.llm.common import cut, runs_of, whole
 from tidelake.llm.token_files import _open
 from tidelake.session import staged
 
@@ -304,27 +304,12 @@ def _indexed(folder: str):
             _write(f"{folder}/keys-{bucket:08d}.mph", KeyIndex.of(_keys(rows), shard, offset, n).to_bytes())
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([rows.num_rows], pa.int64())], names=["bucket", "keys"])
 
-        for bucket, parts in _by_value(batches, "bucket"):
+        for bucket, parts in runs_of(batches, "bucket"):
             yield closed(bucket, list(parts))
 
     return indexed
 
 
-def _by_value(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
-    """Runs of rows that share a value, one value at a time."""
-
-    def parts() -> Iterator[tuple[int, pa.RecordBatch]]:
-        for batch in batches:
-            values = batch.column(column).to_numpy(zero_copy_only=False)
-            edges = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
-            for start, stop in zip(edges[:-1], edges[1:], strict=True):
-                if stop > start:
-                    yield int(values[start]), batch.slice(start, stop - start)
-
-    for value, run in groupby(parts(), key=lambda p: p[0]):
-        yield value, (p[1] for p in run)
-
-
 def write(docs: DataFrame, folder: str, tokenizer_path: str, end: int, kind: str = "<u2") -> DataFrame:
     """Every row's whole text as ids in the new ``folder``, with manifest and index; returns the keys, ``doc_id, copy``.
 
@@ -388,7 +373,7 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     asked = asked.select("doc_id", "copy", _bucket(buckets)).repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, parts in _by_value(batches, "bucket"):
+        for bucket, parts in runs_of(batches, "bucket"):
             files, name = _open(f"{folder}/keys-{bucket:08d}.mph")
             index = None
             if files.get_file_info(name).type != pafs.FileType.NotFound:
