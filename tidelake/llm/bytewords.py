@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -19,8 +20,11 @@ LETTER = np.zeros(256, np.uint8)
 LETTER[0x61:0x7B] = LETTER[0x41:0x5B] = np.arange(0x61, 0x7B)
 LETTER[0x80:] = np.arange(0x80, 0x100)
 
-#: Odd multipliers by the place of a byte in its word, repeating after 64.
-_POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+@lru_cache(4)
+def _powers(bits: int) -> np.ndarray:
+    """Odd multipliers by the place of a byte in its word, none of them twice, for 2^bits places."""
+    return np.cumprod(np.full(1 << bits, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
 
 @dataclass
@@ -81,6 +85,7 @@ def word_hashes(values: np.ndarray, starts: np.ndarray, prefix: int | None = Non
         place = np.zeros(len(values), np.int32)
         place[starts[0] :] = rank[starts[0] :] - np.repeat(rank[starts] - kept[starts], lengths)
     use = kept if prefix is None else kept & (place <= prefix)
-    terms = np.where(use, values, 0).astype(np.uint64) * _POWERS[place & 63]
+    powers = _powers(max(6, int(place.max()).bit_length()))
+    terms = np.where(use, values, 0).astype(np.uint64) * powers[place]
     sums = np.add.reduceat(terms, starts)
     return np.where(sums == 0, np.uint64(0), mixed(sums))

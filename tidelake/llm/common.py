@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,25 @@ def with_labels(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return docs.join(one, "doc_id")
 
 
+def taught(docs: DataFrame, labels: DataFrame, label: str, sample: int, encode: Callable, column: str, most: int, longest: int) -> list[dict]:
+    """``doc_id, label`` and the encoded text of the documents that a model learns from, in order of ids.
+
+    Labelled ids that are not held out, ``sample`` at most by the hash of the id; of an id's rows the one with the smallest encoded text. Of
+    these, in the order of the hash, as many as ``most`` bytes hold; a text of over ``longest`` encoded bytes teaches nothing.
+    """
+    known = labels.filter(~held_out("doc_id", 4))
+    ids = with_labels(known.select("doc_id").distinct(), known, label)
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("taught_id"), "label")
+    rows = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("taught_id"))
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
+    encoded = rows.mapInArrow(encode, f"doc_id long, label int, {column} binary").filter(F.length(column) <= longest)
+    encoded = encoded.groupBy("doc_id").agg(F.min("label").alias("label"), F.min(column).alias(column))
+    # A row for each sampled id at most.
+    so_far = F.sum(F.length(column)).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    found = encoded.withColumn("so_far", so_far).filter(F.col("so_far") <= most).drop("so_far")
+    return sorted(found.toArrow().to_pylist(), key=lambda r: r["doc_id"])
+
+
 def cut(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of successive rows whose sizes add up to ``most`` at most, or of one larger row."""
     start = total = 0

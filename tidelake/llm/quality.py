@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.bytewords import BLANK, Pieces, pieces, word_hashes, word_starts
-from tidelake.llm.common import held_out, whole, with_labels
+from tidelake.llm.common import taught, whole
 
 #: Words of a passage.
 PASSAGE = 64
 #: Most labelled documents that the model learns from, those with the smallest hash of their id.
 SAMPLE = 4096
+#: Bytes of encoded passages that the model learns from at most, and of one document's.
+BYTES, TEXT_BYTES = 96 << 20, 8 << 20
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 30, 32, 3e-3, 1e-4, 7
 
 #: Shapes of bytes; neighbouring shapes are counted.
@@ -154,17 +156,11 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention:
-    """A model of ``labels.quality``, learnt from ``sample`` labelled documents at most that are not held out.
+    """A model of ``labels.quality``, learnt from ``sample`` labelled documents at most that are not held out, and from ``BYTES`` of their passages.
 
-    Ids that are null, or that carry both labels, teach nothing. Without a labelled document every text scores one half.
+    Ids that are null, or that carry both labels, teach nothing; of an id's rows one does. Without a labelled document every text scores one half.
     """
-    known = labels.filter(~held_out("doc_id", 4))
-    ids = with_labels(known.select("doc_id").distinct(), known, "quality")
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("taught_id"), "label")
-    taught = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("taught_id"))
-    taught = taught.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
-    rows = taught.mapInArrow(_encoded, "doc_id long, label int, bag binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["bag"]))
+    rows = taught(docs, labels, "quality", sample, _encoded, "bag", BYTES, TEXT_BYTES)
     bags = [np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in rows]
     return fit(bags, np.array([r["label"] for r in rows], np.float32))
 

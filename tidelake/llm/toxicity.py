@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.llm.bytewords import LETTER, pieces, word_hashes, word_starts
-from tidelake.llm.common import held_out, whole, with_labels
+from tidelake.llm.bytewords import LETTER, PIECE, word_hashes
+from tidelake.llm.common import cut, held_out, taught, whole
 
 #: Terms of a word: the whole of it and its first bytes, as inflected words share their stem.
 PREFIXES = (None, 4, 5, 6)
 #: Most labelled documents that the model learns from, those with the smallest hash of their id.
 SAMPLE = 8192
 FACTORS, EPOCHS, BATCH, RATE, SEED = 8, 40, 64, 0.02, 11
+#: Bytes of terms that the model learns from at most, and of one document's.
+BYTES, TEXT_BYTES = 96 << 20, 4 << 20
+#: Words that a task remembers as it scores.
+KNOWN = 1 << 19
 #: Slots that the terms are hashed into, each with a weight and factors.
 SLOTS = 1 << 18
-#: What an epoch takes from each weight and from the length of each slot's factors, before Adagrad's scale.
+#: What an epoch takes from each weight and from the length of each slot's factors, before Adagrad's scale. Chosen, as epochs and batch, by a quarter
+#: of the taught documents that a trial did not learn from.
 LESS_WEIGHT, LESS_FACTORS = 0.02, 0.2
 #: Adagrad's first scales, for each term of a mean text: many terms move together.
 FIRST_WEIGHT, FIRST_FACTORS = 2e-4, 2.4e-4
@@ -31,16 +38,28 @@ def _term_hashes(values: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]
         yield (word_hashes(values, starts, prefix) >> np.uint64(32)).astype(np.uint32) + np.uint32(n) & np.uint32(SLOTS - 1)
 
 
+def _words_of(texts: pa.Array) -> list[set[bytes]]:
+    """The different words of every text: runs of non-blanks, A-Z in lower case."""
+    return [set(text.lower().split()) for text in texts.cast(pa.binary()).to_pylist()]
+
+
+def _slots_of(words: list[bytes]) -> np.ndarray:
+    """The slots of each word's terms, a row each."""
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])]) if words else np.empty(0, np.int64)
+    return np.column_stack(list(_term_hashes(LETTER[data], starts))) if words else np.empty((0, len(PREFIXES)), np.uint32)
+
+
 def _distinct_terms(column) -> list[np.ndarray]:
     """The different terms of every row, sorted."""
-    found: list[list[np.ndarray]] = [[] for _ in range(len(column))]
-    for p in pieces(column):
-        starts, piece = word_starts(p)
-        at = np.searchsorted(piece, np.arange(len(p.row) + 1))
-        for hashes in _term_hashes(LETTER[p.data], starts):
-            for k, row in enumerate(p.row):
-                found[row].append(np.unique(hashes[at[k] : at[k + 1]]))
-    return [np.unique(np.concatenate(f)) for f in found]
+    texts = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    terms: list[np.ndarray] = []
+    for start, stop in cut(pc.binary_length(texts).to_numpy(zero_copy_only=False), PIECE):
+        found = _words_of(texts.slice(start, stop - start))
+        every = list(set().union(*found))
+        number, slots = {w: n for n, w in enumerate(every)}, _slots_of(every)
+        terms += [np.unique(slots[[number[w] for w in words]]) if words else np.empty(0, np.uint32) for words in found]
+    return terms
 
 
 @dataclass
@@ -107,8 +126,8 @@ class _Batch:
 def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
     """Adagrad on the labels' cross-entropy; label 1, the rarer, weighs up to four times. Equal input gives an equal model.
 
-    Every slot that occurs learns a weight and factors, by the texts it is in; each epoch shrinks all of them, and slots
-    that come out without either are left out.
+    Every slot that occurs learns a weight and factors, by the texts it is in; each epoch shrinks all of them, and a slot
+    that comes out of one without either is left out from then on.
     """
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
     bias = float(np.log(share / (1 - share)))
@@ -121,14 +140,14 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
     rng = np.random.default_rng(SEED)
     # Small enough that the pairs of a mean text nearly cancel out.
     factors = rng.normal(0, min(0.05, np.sqrt(0.1 / mean)), (len(names), FACTORS)).astype(np.float32)
-    weights = np.zeros(len(names))
+    weights = np.zeros(len(names), np.float32)
     if not len(names):
         return Machine(names, weights, factors, bias)
     cost = np.where(labels == 1, min(4.0, (1 - share) / share), 1.0)
     order = rng.permutation(len(texts))
     parts = [order[start : start + BATCH] for start in range(0, len(order), BATCH)]
     batches = [_Batch.of(part, [texts[k] for k in part], names) for part in parts]
-    weight_sums = np.full(len(names), (FIRST_WEIGHT * mean) ** 2)
+    weight_sums = np.full(len(names), (FIRST_WEIGHT * mean) ** 2, np.float32)
     factor_sums = np.full(factors.shape, (FIRST_FACTORS * mean) ** 2, np.float32)
     bias_sum = 1e-2
     for _ in range(EPOCHS):
@@ -140,7 +159,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
             delta = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[b.texts]) * cost[b.texts] / len(b.texts)
             # d logit / d v_if = x_i (sum_j v_jf x_j - v_if x_i); x is 0 or 1.
             sums = b.by_slot(np.column_stack([delta, delta[:, None] * inner]).astype(np.float32))
-            dw, dv, db = sums[:, 0].astype(np.float64), sums[:, 1:] - sums[:, :1] * v, delta.sum()
+            dw, dv, db = sums[:, 0], sums[:, 1:] - sums[:, :1] * v, delta.sum()
             weight_sums[b.slots] += dw**2
             factor_sums[b.slots] += dv**2
             bias_sum += db**2
@@ -150,8 +169,15 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
         weights = np.sign(weights) * np.maximum(np.abs(weights) - 5 * RATE * LESS_WEIGHT / np.sqrt(weight_sums), 0)
         length = np.sqrt((factors**2).sum(1)) + 1e-12
         factors *= np.maximum(0, 1 - RATE * LESS_FACTORS / np.sqrt(factor_sums.mean(1)) / length)[:, None]
+        left = np.flatnonzero((weights != 0) | (factors != 0).any(1))
+        if len(left) < 0.7 * len(names):
+            names, weights, factors, weight_sums, factor_sums = (a[left] for a in (names, weights, factors, weight_sums, factor_sums))
+            held = np.zeros(SLOTS, bool)
+            held[names] = True
+            texts = [t[held[t]] for t in texts]
+            batches = [_Batch.of(part, [texts[k] for k in part], names) for part in parts]
     left = np.flatnonzero((weights != 0) | (factors != 0).any(1))
-    return Machine(names[left], weights[left], factors[left], float(bias))
+    return Machine(names[left], weights[left].astype(float), factors[left], float(bias))
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,34 +189,36 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    """A model of ``labels.toxic``, learnt from ``sample`` labelled documents at most that are not held out.
+    """A model of ``labels.toxic``, learnt from ``sample`` labelled documents at most that are not held out, and from ``BYTES`` of their terms.
 
-    Ids that are null, or that carry both labels, teach nothing. Without both labels every text scores their share, or one half.
+    Ids that are null, or that carry both labels, teach nothing; of an id's rows one does. Without both labels every text scores their share, or one half.
     """
-    known = labels.filter(~held_out("doc_id", 4))
-    ids = with_labels(known.select("doc_id").distinct(), known, "toxic")
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("taught_id"), "label")
-    taught = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("taught_id"))
-    taught = taught.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
-    rows = taught.mapInArrow(_terms_of, "doc_id long, label int, terms binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
+    rows = taught(docs, labels, "toxic", sample, _terms_of, "terms", BYTES, TEXT_BYTES)
     return fit([np.frombuffer(r["terms"], "<u4") for r in rows], np.array([r["label"] for r in rows], float))
 
 
 def _scorer(model: Machine):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Each different word is hashed once; few of them have a term of the model.
+        seen: set[bytes] = set()
+        places_of: dict[bytes, list[int]] = {}
         for batch in batches:
-            pairs = [np.empty(0, np.int64)]
-            for p in pieces(batch.column("text")):
-                starts, piece = word_starts(p)
-                for hashes in _term_hashes(LETTER[p.data], starts):
-                    some, places = model.places(hashes)
-                    pairs.append(np.unique(p.row[piece[some]] * max(1, len(model.terms)) + places))
-            both = np.unique(np.concatenate(pairs))
-            rows, places = np.divmod(both, max(1, len(model.terms)))
-            logit = model.logits(rows, places, batch.num_rows)
-            score = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
+            texts, scores = batch.column("text"), []
+            for start, stop in cut(pc.binary_length(texts).to_numpy(zero_copy_only=False), PIECE):
+                found = _words_of(texts.slice(start, stop - start))
+                if len(seen) > KNOWN:
+                    seen, places_of = set(), {}
+                new = list(set().union(*found) - seen)
+                seen.update(new)
+                slots = _slots_of(new)
+                some, places = model.places(slots.ravel())
+                for word, place in zip((some // slots.shape[1]).tolist(), places.tolist(), strict=True):
+                    places_of.setdefault(new[word], []).append(place)
+                told = [sorted({p for w in words & places_of.keys() for p in places_of[w]}) for words in found]
+                rows = np.repeat(np.arange(len(told)), [len(t) for t in told])
+                logit = model.logits(rows, np.fromiter(chain.from_iterable(told), np.int64), len(told))
+                scores.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate([*scores, np.empty(0)]))], names=["doc_id", "score"])
 
     return scored
 
