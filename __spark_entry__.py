@@ -6,10 +6,11 @@ top rename their columns, the queries call the library.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidelake.functions import contains, exclusive_class, overlapping_classes, starts_with
 from tidelake.operators import (
@@ -24,17 +25,17 @@ from tidelake.operators import (
     totals,
 )
 from tidelake.plans import rental, star
+from tidelake.plans.changed import run_changed
 from tidelake.plans.jobs import GOLD_FACTS, Lake, clean_out_of_stock, clean_shop_table, gold_rows, run_range
 from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
 from tidelake.sources import DAY_FOLDERS, day_slice, read_bronze_csv, read_bronze_json, read_silver
-from tidelake.streaming import ingest_feed
+from tidelake.streaming import ingest_feed, take_landed
 
-try:
-    from tidelake.llm import queries as llm_queries
-except ImportError:  # the subpackage is optional
-    llm_queries = None
+# The subpackage is optional; one that is there must import.
+_llm = importlib.util.find_spec("tidelake.llm")
+llm_queries = importlib.import_module("tidelake.llm.queries") if _llm and _llm.origin else None
 
 FEED_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("product_id", T.LongType())])
 REGION_CLASSES = {"starts_with_a": starts_with("a"), "contains_e": contains("E")}
@@ -555,6 +556,61 @@ def stream_ingest_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, f"{root}/silver")
 
 
+def documents_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks and quotes as CSV, every file read by many tasks."""
+    documents, path = _table(spark, sf_dir, "documents"), scratch_dir(spark, "documents-csv")
+    write_csv(documents, path)
+    return read_bronze_csv(spark, path, documents.schema, multiline=True, block_bytes=1 << 18)
+
+
+def _land_one_array(rows: DataFrame, path: str, day_column: str) -> None:
+    """A file for each day that is one array of the day's rows on one line, as the feed's downloader writes it; a day's rows pass by its one writer."""
+    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy(day_column).orderBy(*rows.columns)))
+    text = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    numbered = numbered.select(F.col(day_column).alias("as_of_date"), "nth", F.concat(F.when(F.col("nth") == 1, "[").otherwise(","), text).alias("value"))
+    ends = rows.select(F.col(day_column).alias("as_of_date")).distinct().select("as_of_date", F.lit(2**31 - 1).alias("nth"), F.lit("]").alias("value"))
+    lines = numbered.unionByName(ends).repartition("as_of_date").sortWithinPartitions("as_of_date", "nth")
+    lines.select("as_of_date", "value").write.partitionBy("as_of_date").option("lineSep", " ").text(path)
+
+
+def feed_one_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed landed as one array a day, every file read by many tasks, into silver."""
+    root = scratch_dir(spark, "feed-arrays")
+    feed = _feed(spark, sf_dir)
+    _land_one_array(feed.filter("date IS NOT NULL"), root, "date")
+    return clean(read_bronze_json(spark, root, FEED_SCHEMA, multiline=True, block_bytes=1 << 16), ["date", "product_id"])
+
+
+def feed_rewritten_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed lands by day and is taken; its second day lands again without views, its third without rows, and is taken again."""
+    root = scratch_dir(spark, "landed")
+    feed = _table(spark, sf_dir, "events").select(F.to_date("ts").alias("date"), F.col("user_id").alias("product_id"), "event_type")
+    write_json(feed.drop("event_type"), f"{root}/landing", day_column="date")
+    first = feed.agg(F.min("date")).first()[0]
+    second, third = first + timedelta(days=1), first + timedelta(days=2)
+    for step in range(2):
+        take_landed(spark, f"{root}/landing", f"{root}/silver", f"{root}/state", FEED_SCHEMA, DAY_FOLDERS)
+        if not step:
+            write_json(feed.filter((F.col("date") == F.lit(second)) & (F.col("event_type") != "view")).drop("event_type"), f"{root}/landing", day_column="date")
+            spark.createDataFrame([("[]",)], "value string").write.mode("overwrite").text(f"{root}/landing/as_of_date={third}")
+    return read_silver(spark, f"{root}/silver", FEED_SCHEMA)
+
+
+def range_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days to gold; the orders of one day land again with other quantities; of the second run only that day is written. With how often each was."""
+    database = _new_warehouse(spark)
+    lake, first, last = _event_lake(spark, sf_dir, database)
+    schemas = {"orders": _event_orders(spark, sf_dir).schema, "out_of_stock": FEED_SCHEMA}
+    corrected = first + timedelta(days=1)
+    runs = [run_changed(spark, lake, first, last, schemas=schemas, gold_tables=GOLD_FACTS)]
+    orders = _event_orders(spark, sf_dir).filter(F.col("order_date") == F.lit(corrected)).withColumn("quantity", F.col("quantity") + 1000)
+    write_csv(orders, f"{lake.bronze}/{lake.source}/orders", day_column="order_date")
+    runs += [run_changed(spark, lake, first, last, schemas=schemas, gold_tables=GOLD_FACTS) for _ in range(2)]
+    written = [(day,) for run in runs for day in run.gold.get("orders", [])]
+    times = spark.createDataFrame(written, "order_date date").groupBy("order_date").agg(F.count("*").alias("times_written"))
+    return spark.table(f"{database}.orders").join(times, "order_date")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the orders fact of the star schema."""
     return gold_fact_orders(spark, "/root/testdata/sf0.001")
@@ -608,6 +664,10 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_snapshot_overwrite": silver_snapshot_overwrite,
         "silver_day_partition": silver_day_partition,
         "stream_ingest_feed": stream_ingest_feed,
+        "documents_csv_split": documents_csv_split,
+        "feed_one_array": feed_one_array,
+        "feed_rewritten_in_place": feed_rewritten_in_place,
+        "range_changed_days": range_changed_days,
     }
 
 
@@ -819,6 +879,20 @@ def own_sql() -> dict[str, str]:
             SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders""",
         "silver_day_partition": f"SELECT date, product_id FROM ({_CLEAN_FEED_SQL}) WHERE date = DATE '2024-01-05'",
         "stream_ingest_feed": _CLEAN_FEED_SQL,
+        "documents_csv_split": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "feed_one_array": _CLEAN_FEED_SQL,
+        "feed_rewritten_in_place": """
+            SELECT DISTINCT CAST(ts AS DATE) AS date, user_id AS product_id
+            FROM events, (SELECT CAST(MIN(ts) AS DATE) AS first FROM events) AS f
+            WHERE CAST(ts AS DATE) <> first + 2 AND (CAST(ts AS DATE) <> first + 1 OR event_type <> 'view')""",
+        "range_changed_days": """
+            SELECT order_date, CAST(client_id AS INTEGER) AS client_id, CAST(product_id AS INTEGER) AS product_id,
+                   CAST(store_id AS INTEGER) AS store_id, CAST(SUM(quantity) AS INTEGER) AS quantity, MIN(times_written) AS times_written
+            FROM (SELECT DISTINCT user_id % 50 AS product_id, user_id AS client_id, length(event_type) AS store_id,
+                         event_id % 100 + CASE WHEN CAST(ts AS DATE) = first + 1 THEN 1000 ELSE 0 END AS quantity, CAST(ts AS DATE) AS order_date,
+                         CAST(CASE WHEN CAST(ts AS DATE) = first + 1 THEN 2 ELSE 1 END AS BIGINT) AS times_written
+                  FROM events, (SELECT CAST(MIN(ts) AS DATE) AS first FROM events) AS f) AS o
+            GROUP BY order_date, client_id, product_id, store_id""",
     }
 
 

@@ -76,6 +76,14 @@ def test_the_database_makes_the_slice(spark, monkeypatch):
     ]
 
 
+def test_a_range_is_one_slice(spark, monkeypatch):
+    asked = []
+    frame = spark.createDataFrame([(1, date(2021, 1, 2)), (2, date(2021, 1, 9))], "id int, order_date date")
+    monkeypatch.setattr(jdbc, "read_table", lambda _spark, _url, table, _user, **options: asked.append(table) or frame)
+    assert extract_table(spark, URL, "public.orders", date(2021, 1, 1), USER, last=date(2021, 1, 3)).count() == 1
+    assert asked == ["(SELECT * FROM public.orders WHERE order_date BETWEEN DATE '2021-01-01' AND DATE '2021-01-03') AS day_rows"]
+
+
 def test_write_modes():
     df = MagicMock()
     write_jdbc(df, URL, "dim_stores", USER, "overwrite", batch_size=1000)

@@ -227,23 +227,41 @@ def test_range_from_the_database(spark, lakes, tmp_path, monkeypatch):
     names = list(SHOP_SCHEMAS)
     monkeypatch.setattr(jobs, "list_tables", lambda *args: spark.createDataFrame([(n,) for n in names], "table_name string"))
 
-    def extract(_spark, _url, name, day, _properties, **options):
+    asked = []
+
+    def extract(_spark, _url, name, day, _properties, last, **options):
         table = name.split(".")[1]
-        rows_ = landed[table]
+        asked.append(table)
         assert options["num_partitions"] > 1
-        return rows_.filter(rows_["order_date"] == day) if table == "orders" else rows_
+        return landed[table].filter(landed[table]["order_date"].between(day, last)) if table == "orders" else landed[table]
 
     monkeypatch.setattr(jobs, "extract_table", extract)
     database = jobs.ShopDatabase("jdbc:x", {})
     run_range(spark, lake, DAYS[0], DAYS[-1], database=database, gold_tables=["orders", "dim_products"])
     got = gold(spark, lake)
     assert len(got["orders"]) == 6 and len(got["dim_products"]) == 2 and got["dim_stores"] == []
+    # One extract by table, not one by table and day.
+    assert sorted(asked) == sorted(SHOP_SCHEMAS)
     names.append("unheard_of")
-    monkeypatch.setattr(jobs, "land_shop", lambda *args: names)
+    monkeypatch.setattr(jobs, "land_shop_range", lambda *args: names)
     with pytest.raises(KeyError, match="unheard_of"):
         run_range(spark, lake, DAYS[0], database=database)
 
 
+@pytest.mark.parametrize("layout", [jobs.DAY_FILES, jobs.DAY_FOLDERS])
+def test_a_range_lands_days_without_rows(spark, tmp_path, monkeypatch, layout):
+    """Also those that had rows when they landed before."""
+    lake = Lake(str(tmp_path / "bronze"), str(tmp_path / "silver"), bronze_layout=layout)
+    held = [(1, 1, 1, 1, day) for day in DAYS]
+    monkeypatch.setattr(jobs, "list_tables", lambda *args: spark.createDataFrame([("orders",)], "table_name string"))
+    monkeypatch.setattr(jobs, "extract_table", lambda *args, **options: spark.createDataFrame(held, SHOP_SCHEMAS["orders"]))
+    for _ in range(2):
+        assert jobs.land_shop_range(spark, lake, "jdbc:x", {}, DAYS[0], DAYS[-1]) == ["orders"]
+        clean_shop_table(spark, lake, "orders", DAYS[0], DAYS[-1])
+        assert rows(read_silver(spark, lake.silver_path("orders"), SHOP_SCHEMAS["orders"])) == sorted(held, key=repr)
+        del held[1]
+
+
 def clean_rows(spark, tmp_path, table):
     paths = [str(p) for p in sorted((tmp_path / "bronze" / "shop" / table).glob("*.csv"))]
     held = read_bronze_csv(spark, paths if table == "orders" else paths[-1:], SHOP_SCHEMAS[table]).collect()

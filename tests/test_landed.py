@@ -1,0 +1,214 @@
+"""Landed files rewritten in place, and ranges of which only changed days are computed."""
+
+import gzip
+import json
+import os
+from datetime import date
+
+import pytest
+
+from conftest import rows
+from tidelake.plans import changed
+from tidelake.plans.changed import run_changed, runs_of_days
+from tidelake.plans.jobs import Lake, clean_out_of_stock, run_range
+from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS
+from tidelake.sinks import create_star_schema
+from tidelake.sources import read_silver
+from tidelake.sources.ledger import Ledger, row_prints
+from tidelake.streaming import Taken, ingest_feed, landed as landed_module, take_landed
+
+DAYS = [date(2021, 1, d) for d in (1, 2, 3, 4)]
+
+
+def land(folder, day, *items, name=None):
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / (name or f"{day}.json")
+    text = json.dumps([{"date": str(d), "product_id": p} for d, p in items])
+    if path.suffix == ".gz":
+        path.write_bytes(gzip.compress(text.encode()))
+    else:
+        path.write_text(text)
+    return path
+
+
+def touch(path, seconds):
+    os.utime(path, (seconds, seconds))
+
+
+@pytest.fixture
+def taking(spark, tmp_path):
+    def take(**options):
+        told = take_landed(spark, str(tmp_path / "in"), str(tmp_path / "silver"), str(tmp_path / "state"), **options)
+        return told, [(r.product_id, r.date.day) for r in sorted(read_silver(spark, str(tmp_path / "silver"), OUT_OF_STOCK_SCHEMA).collect(), key=lambda r: (r.date, r.product_id))]
+
+    return take
+
+
+@pytest.mark.parametrize("one_array", [False, True])
+def test_a_rewritten_file_replaces_its_rows(spark, tmp_path, taking, one_array):
+    folder = tmp_path / "in"
+    first = land(folder, DAYS[0], (DAYS[0], 1), (DAYS[0], 2), (DAYS[0], 2), (DAYS[0], None))
+    land(folder, DAYS[1], (DAYS[1], 1), (DAYS[0], 2))
+    assert taking(one_array=one_array) == (Taken(new=2), [(1, 1), (2, 1), (1, 2)])
+    assert taking(one_array=one_array)[0] == Taken(untouched=2)
+    # What another file gives as well stays; a day of the old rows alone becomes empty.
+    land(folder, DAYS[0], (DAYS[0], 3))
+    touch(first, 1_000_000)
+    assert taking(one_array=one_array) == (Taken(changed=1, untouched=1), [(2, 1), (3, 1), (1, 2)])
+    land(folder, DAYS[1], (DAYS[2], 9))
+    assert taking(one_array=one_array) == (Taken(changed=1, untouched=1), [(3, 1), (9, 3)])
+    touch(first, 2_000_000)
+    assert taking(one_array=one_array)[0] == Taken(same=1, untouched=1)
+    assert taking(one_array=one_array)[0] == Taken(untouched=2)
+    # Emptied, and with an error message instead of rows.
+    first.write_text("")
+    assert taking(one_array=one_array) == (Taken(changed=1, untouched=1), [(9, 3)])
+    assert taking(one_array=one_array)[0] == Taken(untouched=1)
+    land(folder, DAYS[3], (DAYS[3], 4))
+    (folder / "2021-01-02.json").write_text('{"message": "none"}')
+    assert taking(one_array=one_array) == (Taken(new=1, changed=1), [(4, 4)])
+    # As the batch job reads it.
+    lake = Lake(str(tmp_path), str(tmp_path / "other"), feed="in")
+    for name in ("2021-01-01.json", "2021-01-03.json"):
+        (folder / name).write_text("[]")
+    clean_out_of_stock(spark, lake, DAYS[0], DAYS[3])
+    assert rows(read_silver(spark, lake.silver_path("out_of_stock"), OUT_OF_STOCK_SCHEMA)) == rows(read_silver(spark, str(tmp_path / "silver"), OUT_OF_STOCK_SCHEMA))
+
+
+def test_a_file_that_is_gone_keeps_its_rows(spark, tmp_path, taking):
+    first = land(tmp_path / "in", DAYS[0], (DAYS[0], 1))
+    land(tmp_path / "in", DAYS[1], (DAYS[1], 2))
+    taking()
+    first.unlink()
+    for _ in range(2):
+        assert taking() == (Taken(untouched=1), [(1, 1), (2, 2)])
+    touch(land(tmp_path / "in", DAYS[0], (DAYS[0], 1)), 1_000_000)
+    assert taking() == (Taken(same=1, untouched=1), [(1, 1), (2, 2)])
+
+
+def test_a_failed_run_is_made_up_for(spark, tmp_path, taking, monkeypatch):
+    folder = tmp_path / "in"
+    land(folder, DAYS[0], (DAYS[0], 1))
+    taking()
+    touch(land(folder, DAYS[0], (DAYS[1], 2)), 1_000_000)
+    real, calls = landed_module.replace_listed_days, []
+
+    def fails(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("lost")
+        real(*args)
+
+    monkeypatch.setattr(landed_module, "replace_listed_days", fails)
+    with pytest.raises(OSError):
+        taking()
+    monkeypatch.setattr(landed_module, "replace_listed_days", real)
+    assert taking() == (Taken(changed=1), [(2, 2)])
+
+
+def test_only_touched_days_are_written(spark, tmp_path, taking):
+    folder = tmp_path / "in"
+    for day in DAYS:
+        land(folder, day, (day, 1))
+    taking()
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "silver").rglob("*.parquet")}
+    touch(land(folder, DAYS[2], (DAYS[2], 5)), 1_000_000)
+    assert taking()[0] == Taken(changed=1, untouched=3)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "silver").rglob("*.parquet")}
+    assert {p.parent.name for p in before.keys() ^ after.keys()} == {f"date={DAYS[2]}"}
+
+
+def test_every_landed_file_is_read(spark, tmp_path, taking):
+    """Compressed ones and those of any name; not those that begin with an underscore or a dot."""
+    folder = tmp_path / "in"
+    land(folder, DAYS[0], (DAYS[0], 1), name="2021-01-01.json.gz")
+    land(folder, DAYS[1], (DAYS[1], 2), name="answer")
+    land(folder, DAYS[1], (DAYS[1], 7), name="_draft.json")
+    expected = [(1, 1), (2, 2)]
+    assert taking() == (Taken(new=2), expected)
+    ingest_feed(spark, str(folder), str(tmp_path / "streamed"), str(tmp_path / "checkpoint"))
+    assert sorted((r.product_id, r.date.day) for r in read_silver(spark, str(tmp_path / "streamed")).collect()) == expected
+
+
+def test_prints_tell_rows_apart(spark):
+    def told(*items):
+        return tuple(row_prints(spark.createDataFrame(list(items), "a int, b string")).first())
+
+    assert told((1, "x"), (2, "y")) == told((2, "y"), (1, "x"))
+    assert len({told((1, None)), told((None, "1")), told((1, "x")), told((1, "x"), (1, "x")), told((1, "x"), (1, "x"), (1, "x"))}) == 5
+
+
+def test_ledger_keeps_the_last_entry(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    for n in (1, 2):
+        ledger.add("bronze", spark.createDataFrame([("t", DAYS[0], n)], "name string, day date, n long"))
+    assert [(r.name, r.day, r.n) for r in ledger.last("bronze").collect()] == [("t", DAYS[0], 2)]
+    assert ledger.last("silver").count() == 0
+
+
+def test_runs_of_days():
+    assert runs_of_days([]) == [] and runs_of_days([DAYS[3], DAYS[0], DAYS[1]]) == [(DAYS[0], DAYS[1]), (DAYS[3], DAYS[3])]
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    database = f"gold_{tmp_path.name.replace('-', '_')}"
+    create_star_schema(spark, database, str(tmp_path / "gold"))
+    lake = Lake(str(tmp_path / "bronze"), str(tmp_path / "silver"), database)
+    for day in DAYS:
+        land(tmp_path / "bronze" / "out_of_stock", day, (day, 1), (day, 2))
+        for table, text in (("orders", f"product_id,client_id,store_id,quantity,order_date\n1,1,1,5,{day}\n1,1,1,7,{day}\n"), ("store_types", "store_type_id,type\n1,small\n"), ("location_areas", "area_id,area\n1,north\n"), ("stores", "store_id,store_type_id,location_area_id\n1,1,1\n")):
+            path = tmp_path / "bronze" / "shop" / table / f"{day}.csv"
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text(text)
+    yield lake
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+TABLES = ["orders", "store_types", "location_areas", "stores"]
+GOLD = ["orders", "out_of_stock", "dim_stores"]
+
+
+def test_only_changed_days_are_computed(spark, tmp_path, lake):
+    def run():
+        return run_changed(spark, lake, DAYS[0], DAYS[-1], tables=TABLES, gold_tables=GOLD)
+
+    def written():
+        return {p: p.stat().st_mtime_ns for top in ("silver", "gold") for p in (tmp_path / top).rglob("*.parquet") if "_ledger" not in str(p)}
+
+    done = run()
+    assert done.silver == {"orders": DAYS, "out_of_stock": DAYS, **{t: [DAYS[-1]] for t in TABLES[1:]}}
+    assert done.gold == {"orders": DAYS, "out_of_stock": DAYS, "dim_stores": [DAYS[-1]]}
+    before = written()
+    assert run() == changed.Rewritten() and written() == before
+    # A corrected day, one that lost its rows, and one whose text changed but not its rows.
+    orders = tmp_path / "bronze" / "shop" / "orders"
+    (orders / f"{DAYS[1]}.csv").write_text(f"product_id,client_id,store_id,quantity,order_date\n1,1,1,50,{DAYS[1]}\n")
+    touch(land(tmp_path / "bronze" / "out_of_stock", DAYS[2]), 1_000_000)
+    same = land(tmp_path / "bronze" / "out_of_stock", DAYS[0], (DAYS[0], 2), (DAYS[0], 1), (DAYS[0], 1))
+    touch(same, 1_000_000)
+    done = run()
+    assert done.silver == {"orders": [DAYS[1]], "out_of_stock": [DAYS[0], DAYS[2]]}
+    assert done.gold == {"orders": [DAYS[1]], "out_of_stock": [DAYS[2]]}
+    other = Lake(lake.bronze, str(tmp_path / "whole"), lake.gold_database)
+    mine = {t: rows(spark.table(f"{lake.gold_database}.{t}")) for t in GOLD}
+    run_range(spark, other, DAYS[0], DAYS[-1], tables=TABLES, gold_tables=GOLD)
+    assert mine == {t: rows(spark.table(f"{lake.gold_database}.{t}")) for t in GOLD}
+    for table in ("orders", "out_of_stock"):
+        schema = OUT_OF_STOCK_SCHEMA if table == "out_of_stock" else SHOP_SCHEMAS[table]
+        assert rows(read_silver(spark, lake.silver_path(table), schema)) == rows(read_silver(spark, other.silver_path(table), schema))
+
+
+def test_gold_follows_after_a_failure(spark, tmp_path, lake, monkeypatch):
+    """Silver was written and noted; gold, which failed, is written by the next run."""
+    monkeypatch.setattr(changed, "load_gold", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        run_changed(spark, lake, DAYS[0], tables=["orders"], gold_tables=["orders"], schemas={"orders": SHOP_SCHEMAS["orders"]})
+    monkeypatch.undo()
+    done = run_changed(spark, lake, DAYS[0], tables=["orders"], gold_tables=["orders"], schemas={"orders": SHOP_SCHEMAS["orders"]})
+    assert done.silver == {} and done.gold == {"orders": [DAYS[0]]}
+
+
+def test_a_day_that_has_not_landed_is_an_error(spark, lake):
+    with pytest.raises(FileNotFoundError, match="2021-01-05"):
+        run_changed(spark, lake, DAYS[0], date(2021, 1, 5), tables=["orders"], gold_tables=[])

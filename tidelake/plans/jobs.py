@@ -1,6 +1,6 @@
 """Daily and ranged loads from the shop database over bronze and silver to gold.
 
-A range of days is one Spark job per table and layer, not one per day. Every job
+A range of days is one extract of each table and one Spark job per table and layer, not one per day. Every job
 can be run again: it replaces the days, or the snapshot, that it writes.
 """
 
@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tidelake.operators.quality import clean
 from tidelake.plans import star
 from tidelake.schemas import OUT_OF_STOCK_SCHEMA, SHOP_SCHEMAS, WRITE_POLICIES, WritePolicy, write_policy
-from tidelake.sinks.files import FILE_DAY, observed, replace_days, write_csv, write_table
+from tidelake.session import staged
+from tidelake.sinks.files import FILE_DAY, days_of, observed, replace_days, write_csv, write_table
 from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
-from tidelake.sources.files import DAY_FILES, bronze_paths, date_range, file_day, read_bronze_csv, read_bronze_json, read_silver
-from tidelake.sources.jdbc import extract_table, list_tables
+from tidelake.sources.files import DAY_FILES, DAY_FOLDERS, bronze_paths, date_range, file_day, read_bronze_csv, read_bronze_json, read_silver
+from tidelake.sources.jdbc import SLICED_BY_DAY, extract_table, list_tables
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,43 @@ def land_shop(
     return names
 
 
+def land_shop_range(
+    spark: SparkSession,
+    lake: Lake,
+    url: str,
+    properties: Mapping[str, str],
+    start: date,
+    end: date,
+    schema: str = "public",
+    read_options: Mapping[str, dict] | None = None,
+    at_once: int = 4,
+) -> list[str]:
+    """Every table the database lists to bronze CSV for the days ``start`` to ``end``, each extracted once; returns their names.
+
+    Of a table sliced by day all days' rows are extracted together and landed by day, a day without rows as a file without rows. Other tables land whole, on the
+    last day: the day that silver reads them of.
+    """
+    names = [row[0] for row in list_tables(spark, url, properties, schema).collect()]
+
+    def land(name: str) -> None:
+        options = (read_options or {}).get(name) or _split(name, SHOP_SCHEMAS)
+        rows = extract_table(spark, url, f"{schema}.{name}", start, properties, last=end, **options)
+        if name not in SLICED_BY_DAY:
+            write_csv(rows, *lake.bronze_paths(f"{lake.source}/{name}", end, end, "csv"))
+            return
+        # Read by the database once, and by day from there.
+        column, rows = SLICED_BY_DAY[name], staged(rows, "extract")
+        days = date_range(start, end)
+        if lake.bronze_layout == DAY_FOLDERS:
+            write_csv(rows, f"{lake.bronze.rstrip('/')}/{lake.source}/{name}", day_column=column)
+            days = sorted(set(days) - set(days_of(rows, column)["days"]))
+        for day in days:
+            write_csv(rows.filter(F.col(column) == F.lit(day)), *lake.bronze_paths(f"{lake.source}/{name}", day, day, "csv"))
+
+    _together(spark, [partial(land, name) for name in names], at_once)
+    return names
+
+
 def _own_days(rows: DataFrame, column: str, path_column: str, layout: str) -> DataFrame:
     """A row of another day than its file's fails the write, as it would replace that day's partition.
 
@@ -153,15 +191,16 @@ def clean_out_of_stock(
     end: date | None = None,
     schema: T.StructType = OUT_OF_STOCK_SCHEMA,
     policies: dict[str, WritePolicy] = WRITE_POLICIES,
+    one_array: bool = False,
 ) -> dict[str, int]:
     """Bronze JSON of the feed to silver; returns how many rows were read and dropped for nulls.
 
-    A day whose file holds no rows, or an error message instead, becomes an empty day.
+    With ``one_array`` a day's file, one array of all its rows on one line or many, is read by many tasks. A day whose file holds no rows, or an error message instead, becomes an empty day.
     """
     last = end or start
     paths = lake.bronze_paths(lake.feed, start, last, "json")
     counts, policy = Observation(), write_policy("out_of_stock", policies)
-    read = read_bronze_json(spark, paths, schema, file_column="_file")
+    read = read_bronze_json(spark, paths, schema, multiline=one_array, file_column="_file")
     read = _own_days(read, policy.partition_by, "_file", lake.bronze_layout)
     needed = ["date", "product_id"]
     _write_days(clean(read, needed, observation=counts), lake.silver_path("out_of_stock"), policy, start, last)
@@ -261,21 +300,18 @@ def run_range(
     gold_tables: Sequence[str] = GOLD_FACTS + GOLD_DIMENSIONS,
     multiline: Collection[str] = (),
     dedupe: bool = True,
+    one_array: bool = False,
 ) -> dict[str, int]:
     """Bronze of the shop, then all silver tables, then the gold tables, for the days ``start`` to ``end``.
 
-    With a ``database`` every table it lists is landed for every day, and taken to silver; without one, bronze has landed before, and
+    With a ``database`` every table it lists is extracted once for all days, and taken to silver; without one, bronze has landed before, and
     ``tables`` (all with a schema) are taken. A table without a write policy or a schema is an error before silver begins. Tables
-    in ``multiline`` hold line breaks in their fields. The feed's bronze is landed by whoever asks for it. Any failure stops the run
+    in ``multiline`` hold line breaks in their fields; ``one_array``: the feed's files are an array each. The feed's bronze is landed by whoever asks for it. Any failure stops the run
     after its layer, so gold never follows a failed silver. Returns how many rows of the feed were read and dropped.
     """
     if database is not None:
-        listed = {
-            name: None
-            for day in date_range(start, end or start)
-            for name in land_shop(spark, lake, database.url, database.properties, day, database.schema, database.read_options, at_once)
-        }
-        tables = list(listed) if tables is None else tables
+        listed = land_shop_range(spark, lake, database.url, database.properties, start, end or start, database.schema, database.read_options, at_once)
+        tables = listed if tables is None else tables
     tables = [t for t in schemas if t != "out_of_stock"] if tables is None else tables
     for table in tables:
         write_policy(table, policies)
@@ -284,7 +320,7 @@ def run_range(
     shop = [
         partial(clean_shop_table, spark, lake, table, start, end, schemas, policies, dedupe, table in multiline) for table in tables
     ]
-    feed = partial(clean_out_of_stock, spark, lake, start, end, schemas["out_of_stock"], policies)
+    feed = partial(clean_out_of_stock, spark, lake, start, end, schemas["out_of_stock"], policies, one_array)
     counts, *_ = _together(spark, [feed, *shop], at_once)
     _together(spark, [partial(load_gold, spark, lake, table, start, end, schemas) for table in gold_tables], at_once)
     return counts

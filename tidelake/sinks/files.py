@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -69,6 +69,16 @@ def replace_days(rows: DataFrame, path: str, policy: WritePolicy, start: date, e
         spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path}/{day}={gone}")
 
 
+def replace_listed_days(rows: DataFrame, path: str, policy: WritePolicy, days: Sequence[date]) -> None:
+    """Write ``days``, which need not follow each other, of a table partitioned by day; all of ``rows`` are of these days, and those without rows become empty."""
+    spark, day = rows.sparkSession, policy.partition_by
+    write_table(rows, path, policy)
+    inside = spark.read.schema(rows.schema).parquet(path).filter(F.col(day).isin(list(days)))
+    rest = T.StructType([f for f in rows.schema if f.name != day])
+    for gone in sorted(set(days_of(inside, day)["days"]) - set(days_of(rows, day)["days"])):
+        spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path}/{day}={gone}")
+
+
 def _replace_undated(undated: DataFrame, n: int, path: str, policy: WritePolicy, start: date, end: date) -> None:
     """Write the ``n`` rows without a day; those held from files of other days than ``start`` to ``end`` stay."""
     spark, day = undated.sparkSession, policy.partition_by

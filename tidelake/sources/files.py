@@ -8,6 +8,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidelake.sources import split
+
 # PostgreSQL writes a quote inside a quoted field twice.
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
 # A field without anything is null; a quoted empty one is an empty text. The reader tells them
@@ -50,24 +52,26 @@ def read_bronze_csv(
     schema: T.StructType,
     multiline: bool = False,
     file_column: str | None = None,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """CSV with a header and a declared schema; a malformed record or other header is an error.
 
-    Files are split over tasks. With ``multiline`` a field may hold line breaks and a file is read by one
-    task, so a large day should land as many files. A field without anything is null, a
+    Files are split over tasks. With ``multiline`` a field may hold line breaks: a file is then read in blocks, of ``block_bytes`` if given,
+    whose open quotes are counted first. A field without anything is null, a
     quoted empty one an empty text. Booleans may be written ``t`` and ``f``. ``file_column`` adds the path of each row's file.
     """
     flags = [f.name for f in schema if isinstance(f.dataType, T.BooleanType)]
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in flags else f.dataType) for f in schema]
     )
-    rows = (
-        spark.read.schema(as_text)
-        .options(**CSV_READ, multiLine=multiline, enforceSchema=False, mode="FAILFAST")
-        .csv(paths)
-    )
+    if multiline:
+        rows = split.read_csv(spark, paths, as_text, CSV_READ, "_path" if file_column else None, block_bytes)
+        path = [F.col("_path").alias(file_column)] if file_column else []
+    else:
+        rows = spark.read.schema(as_text).options(**CSV_READ, enforceSchema=False, mode="FAILFAST").csv(paths)
+        path = _path(file_column)
     columns = [F.col(f.name).cast("boolean") if f.name in flags else F.col(f.name) for f in schema]
-    return rows.select(*columns, *_path(file_column))
+    return rows.select(*columns, *path)
 
 
 def read_bronze_json(
@@ -77,14 +81,17 @@ def read_bronze_json(
     wrapped: bool = False,
     multiline: bool = False,
     file_column: str | None = None,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """JSON arrays of objects, one row per element; ``wrapped`` reads ``{"data": [...]}``.
 
-    A value that does not fit ``schema`` becomes null. One array per line, as the
-    feed writes it, lets files be split; ``multiline`` reads pretty-printed files. ``file_column`` adds the path of each row's file.
+    A value that does not fit ``schema`` becomes null. One small array per line lets files be split by lines. ``multiline`` reads files that are one array
+    each, on one line or many, in blocks, of ``block_bytes`` if given, whose strings and braces are counted first. ``file_column`` adds the path of each row's file.
     """
+    if multiline:
+        return split.read_json(spark, paths, schema, wrapped, file_column, block_bytes)
     declared = T.StructType([T.StructField("data", T.ArrayType(schema))]) if wrapped else schema
-    rows = spark.read.schema(declared).option("multiLine", multiline).json(paths)
+    rows = spark.read.schema(declared).json(paths)
     if wrapped:
         return rows.select(*_path(file_column), F.inline("data")).select(*schema.fieldNames(), *([file_column] if file_column else []))
     return rows.select(*schema.fieldNames(), *_path(file_column))

@@ -74,9 +74,10 @@ def extract_table(
     day: date,
     properties: Mapping[str, str],
     sliced: Mapping[str, str] = SLICED_BY_DAY,
+    last: date | None = None,
     **read_options,
 ) -> DataFrame:
-    """What one day's run lands of ``table``: the day's rows of a sliced table, else all.
+    """What one day's run lands of ``table``: the day's rows of a sliced table, or those of the days to ``last``; else all.
 
     The database makes the slice, so that strides of a ``partition_column`` lie between the bounds of the slice and not of all days.
     """
@@ -84,5 +85,6 @@ def extract_table(
     if name not in sliced:
         return read_table(spark, url, table, properties, **read_options)
     column = sliced[name]
-    rows = read_table(spark, url, f"(SELECT * FROM {table} WHERE {column} = DATE '{day}') AS day_rows", properties, **read_options)
-    return day_slice(rows, column, day)
+    days = f"= DATE '{day}'" if last in (None, day) else f"BETWEEN DATE '{day}' AND DATE '{last}'"
+    rows = read_table(spark, url, f"(SELECT * FROM {table} WHERE {column} {days}) AS day_rows", properties, **read_options)
+    return day_slice(rows, column, day, last)

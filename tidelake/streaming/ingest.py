@@ -43,14 +43,14 @@ def ingest_feed(
     schema: T.StructType = OUT_OF_STOCK_SCHEMA,
     max_files_per_batch: int | None = None,
 ) -> None:
-    """Read every file landed since the last call and add its rows to silver.
+    """Read every file landed since the last call, whatever its name, and add its rows to silver; compressed ones by their ending.
 
-    All new files are one batch unless ``max_files_per_batch`` cuts a backlog into several.
+    A name that begins with ``_`` or ``.`` is not landed yet. All new files are one batch unless ``max_files_per_batch`` cuts a backlog into several.
     Rows are made distinct inside a batch and against the table, not by streaming
-    state, which would grow for ever. A file rewritten in place is not read again;
-    the batch job for its day corrects it.
+    state, which would grow for ever. A file rewritten in place is not read again: ``take_landed`` does, and so
+    does the batch job for its day.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.{json,txt}")
+    reader = spark.readStream.schema(schema)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     landed = reader.json(landing)
