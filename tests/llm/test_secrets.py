@@ -25,7 +25,8 @@ def brute(text, reach):
     for w in parts:
         if w[1] >= len(secrets.BASE):
             near = [p for p in parts if role[p[1]] != role[w[1]] and p[0] <= w[2] + reach and p[2] >= w[0] - reach]
-            if any(p[1] < len(secrets.BASE) for p in near) or len({role[p[1]] for p in near}) == 2:
+            couple = role[w[1]] != "endpoint" and any(role[p[1]] != "endpoint" for p in near)
+            if any(p[1] < len(secrets.BASE) for p in near) or len({role[p[1]] for p in near}) == 2 or couple:
                 spans.append(w)
     return sorted(spans)
 
@@ -75,6 +76,16 @@ def test_redact(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_redact_keeps_clashing_columns_and_copies(spark):
+    names = "doc_id bigint, text string, found_spans string, row int, own int, spans int, maybe int, `a.b` int"
+    docs = [(1, "password=abcdefg", "f", 2, 3, 4, 5, 6)] * 3 + [(None, None, "f", 2, 3, 4, 5, 6), (2, "", None, None, 3, 4, 5, 6)]
+    frame = spark.createDataFrame(docs, names)
+    got = secrets.redact(frame)
+    assert got.schema == frame.schema
+    want = [(d, "[secret]" if t else t, *rest) for d, t, *rest in docs]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id bigint, text string")
     assert secrets.find_secrets(frame).count() == 0
@@ -93,7 +104,7 @@ ONE_PART = [f"client_id: acme-77 {'x ' * 200}{KEY}", f"only {KEY}", "user_id=bob
 def test_credentials_of_two_parts(spark):
     """An identifier beside a secret, without an endpoint; neither alone, nor with an endpoint only, nor out of reach."""
     docs = spark.createDataFrame(list(enumerate(TWO_PART + ONE_PART)), "doc_id bigint, text string")
-    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(docs, two_part=True).collect()}
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(docs).collect()}
     assert got == {n: sorted(brute_parts(t)) if t in TWO_PART else [] for n, t in enumerate(TWO_PART + ONE_PART)}
 
 

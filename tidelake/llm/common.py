@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidelake.session import staged
+
 #: Runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,6 +21,12 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``row, own`` of every row: written once, so that numbers stay; ``own`` has all columns of ``docs``, whatever their names."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    return staged(docs.select(F.monotonically_increasing_id().alias("row"), own), name)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     only_ascii = F.length(text) == F.octet_length(text)

@@ -232,7 +232,8 @@ def op10_sql() -> str:
             SELECT w.doc_id, w.kind, w.start, w.stop
             FROM parts w JOIN parts p ON w.doc_id = p.doc_id AND NOT w.strong AND w.role <> p.role
                 AND p.start <= w.stop + {secrets.REACH} AND p.stop >= w.start - {secrets.REACH}
-            GROUP BY ALL HAVING bool_or(p.strong) OR count(DISTINCT p.role) = 2),
+            GROUP BY w.doc_id, w.kind, w.start, w.stop
+            HAVING bool_or(p.strong) OR count(DISTINCT p.role) = 2 OR bool_or(w.role <> 'endpoint' AND p.role <> 'endpoint')),
         spans AS (SELECT doc_id, kind, start, stop FROM parts WHERE strong UNION ALL SELECT * FROM linked),
         told AS (
             SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,

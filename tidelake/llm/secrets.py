@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.common import whole
+from tidelake.llm.common import numbered, whole
 from tidelake.session import staged
 
 #: Kind, pattern, group whose length counts (0: the whole match), fewest characters.
@@ -80,11 +80,11 @@ def _parts(matches: DataFrame) -> DataFrame:
     return each.filter("ok").select("row", "kind", (F.col("end") - F.col("size")).alias("start"), "end", strong.alias("strong"))
 
 
-def _linked(parts: DataFrame, reach: int, two_part: bool) -> DataFrame:
+def _linked(parts: DataFrame, reach: int) -> DataFrame:
     """The weak candidates that complementary parts stand beside.
 
     One counts if, within ``reach`` code points of the same text, there is a strong part of another role, or weak parts
-    of both other roles; with ``two_part`` an identifier and a secret count beside each other without an endpoint, too. An interval join on cells of ``reach`` code points: a cell holds one row for each role and
+    of both other roles, or, of an identifier and a secret, the other one: an endpoint may be missing. An interval join on cells of ``reach`` code points: a cell holds one row for each role and
     strength, with the first start and last end in it, so parts are met without listing pairs.
     """
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind") + 1)
@@ -108,17 +108,16 @@ def _linked(parts: DataFrame, reach: int, two_part: bool) -> DataFrame:
     beside = met.groupBy("row", "kind", "start", "end").agg(
         F.max("near_strong").alias("any_strong"), F.count_distinct("near_role").alias("roles"), F.max(couple).alias("couple")
     )
-    linked = F.expr("any_strong OR roles = 2")
-    return beside.filter(linked | F.col("couple") if two_part else linked).select("row", "kind", "start", "end")
+    return beside.filter("any_strong OR roles = 2 OR couple").select("row", "kind", "start", "end")
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH, two_part: bool = False) -> DataFrame:
+def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``doc_id, text_key, spans`` for every row of ``docs``; spans are ``(start, kind, end)``, by start, then kind.
 
     ``start`` and ``end`` (exclusive) count code points of the whole text, ``kind`` numbers ``KINDS``. Base kinds are the leftmost
     matches of each pattern that do not overlap, without those that are too short. The weak kinds are in it only
-    where the other parts of a credential stand near: all three parts or a base kind, and with ``two_part`` also an identifier and
-    a secret alone. ``text_key`` is the text's md5. A null or empty text has no spans; rows
+    where other parts of a credential stand near: a base kind of another role, parts of both other roles, or an identifier and
+    a secret without an endpoint. ``text_key`` is the text's md5. A null or empty text has no spans; rows
     repeated or without an id are rows of their own; other columns are ignored. Texts are read once and not shuffled.
     """
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), whole("text").alias("text")).withColumn("low", F.lower("text"))
@@ -129,7 +128,7 @@ def find_secrets(docs: DataFrame, reach: int = REACH, two_part: bool = False) ->
     matches = rows.select("doc_id", "row", F.md5("text").alias("text_key"), every.alias("matches"))
     matches = staged(matches.select("doc_id", "row", "text_key", F.explode_outer("matches").alias("match")), "secret-matches")
     parts = _parts(matches)
-    spans = parts.filter("strong").select("row", "kind", "start", "end").union(_linked(parts, reach, two_part))
+    spans = parts.filter("strong").select("row", "kind", "start", "end").union(_linked(parts, reach))
     span = F.struct("start", "kind", "end").alias("span")
     texts = matches.filter("match IS NULL").select("row", "doc_id", "text_key", F.lit(None).cast("struct<start:int,kind:int,end:int>").alias("span"))
     both = texts.union(spans.select("row", F.lit(None).alias("doc_id"), F.lit(None).alias("text_key"), span))
@@ -144,20 +143,21 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]", two_part: bool = False) -> DataFrame:
+def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; overlapping spans are one.
 
-    Texts without spans, null ones included, stay as they are, and so do all other columns; ``n_chars``, where there is such
-    a column, follows. Only texts in which some pattern matches are shuffled.
+    Texts without spans, null ones included, stay as they are, and so do all other columns, whatever their names; ``n_chars``, where there is such
+    a column, follows the texts in which some pattern matches. Repeated rows and null ids are rows of their own; without rows there are none.
+    Only the rows in which some pattern matches are written, with a number, and meet their spans by it; copies of a text do not meet in
+    one task.
     """
-    spans = find_secrets(docs, reach, two_part).filter(F.size("spans") > 0)
-    spans = spans.groupBy(F.col("text_key").alias("found_key")).agg(F.first("spans").alias("found_spans"))
     maybe = F.lit(False)
     for kind, pattern, *_ in (*BASE, *WEAK):
         maybe = maybe | (_hinted(kind, F.lower(whole("text"))) & whole("text").rlike(pattern))
-    held, clean = docs.filter(maybe), docs.filter(~maybe)
-    joined = held.join(spans, F.md5(whole(held["text"])) == spans["found_key"], "left")
-    text = held["text"]
+    clean, held = docs.filter(~maybe), numbered(docs.filter(maybe), "secret-rows")
+    spans = find_secrets(held.select(F.col("row").alias("doc_id"), "own.text"), reach).filter(F.size("spans") > 0)
+    joined = held.join(spans.select(F.col("doc_id").alias("row"), "spans"), "row", "left")
+    text = F.col("own.text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(acc: Column, span: Column) -> Column:
@@ -168,8 +168,9 @@ def redact(docs: DataFrame, reach: int = REACH, mark: str = "[secret]", two_part
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
 
-    new = F.when(F.col("found_spans").isNull(), text).otherwise(F.aggregate("found_spans", start, step, finish))
-    changed = joined.select(*[new.alias(c) if c == "text" else held[c] for c in docs.columns])
+    new = F.when(F.col("spans").isNull(), text).otherwise(F.aggregate("spans", start, step, finish))
+    changed = joined.select("own", new.alias("new"))
+    follows = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.union(changed)
+        follows["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    return clean.union(changed.select(*[follows.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns]))
