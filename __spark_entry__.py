@@ -30,6 +30,7 @@ from tidelake.plans.jobs import GOLD_FACTS, Lake, clean_out_of_stock, clean_shop
 from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
+from tidelake.sources.evolving import SchemaLedger
 from tidelake.sources import DAY_FOLDERS, day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed, take_landed
 
@@ -611,6 +612,24 @@ def range_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.orders").join(times, "order_date")
 
 
+def orders_columns_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that land with a narrow quantity first, then with columns in another order, a wider quantity and a channel; one readable table."""
+    root = scratch_dir(spark, "columns")
+    lake = Lake(f"{root}/bronze", f"{root}/silver", bronze_layout=DAY_FOLDERS)
+    orders = _event_orders(spark, sf_dir)
+    first, last = orders.agg(F.min("order_date"), F.max("order_date")).first()
+    turn, path = first + timedelta(days=10), f"{lake.bronze}/{lake.source}/orders"
+    old = T.StructType([f if f.name != "quantity" else T.StructField("quantity", T.IntegerType()) for f in orders.schema])
+    new = T.StructType([*orders.schema, T.StructField("channel", T.StringType())])
+    later = orders.filter(F.col("order_date") >= F.lit(turn)).withColumns({"quantity": F.col("quantity") + 2**40, "channel": F.concat(F.lit("c"), F.col("store_id"))})
+    write_csv(orders.filter(F.col("order_date") < F.lit(turn)), path, day_column="order_date")
+    write_csv(later.select("channel", "order_date", "quantity", "client_id", "store_id", "product_id"), path, day_column="order_date")
+    ledger = SchemaLedger(spark, f"{root}/schema")
+    clean_shop_table(spark, lake, "orders", first, turn - timedelta(days=1), {"orders": old}, ledger=ledger)
+    clean_shop_table(spark, lake, "orders", turn, last, {"orders": new}, ledger=ledger)
+    return read_silver(spark, lake.silver_path("orders"), ledger.versions()[-1])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the orders fact of the star schema."""
     return gold_fact_orders(spark, "/root/testdata/sf0.001")
@@ -668,6 +687,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_one_array": feed_one_array,
         "feed_rewritten_in_place": feed_rewritten_in_place,
         "range_changed_days": range_changed_days,
+        "orders_columns_moved": orders_columns_moved,
     }
 
 
@@ -885,6 +905,11 @@ def own_sql() -> dict[str, str]:
             SELECT DISTINCT CAST(ts AS DATE) AS date, user_id AS product_id
             FROM events, (SELECT CAST(MIN(ts) AS DATE) AS first FROM events) AS f
             WHERE CAST(ts AS DATE) <> first + 2 AND (CAST(ts AS DATE) <> first + 1 OR event_type <> 'view')""",
+        "orders_columns_moved": """
+            SELECT DISTINCT user_id % 50 AS product_id, user_id AS client_id, CAST(length(event_type) AS BIGINT) AS store_id,
+                   event_id % 100 + CASE WHEN CAST(ts AS DATE) < first + 10 THEN 0 ELSE 1099511627776 END AS quantity, CAST(ts AS DATE) AS order_date,
+                   CASE WHEN CAST(ts AS DATE) >= first + 10 THEN 'c' || length(event_type) END AS channel
+            FROM events, (SELECT CAST(MIN(ts) AS DATE) AS first FROM events) AS f""",
         "range_changed_days": """
             SELECT order_date, CAST(client_id AS INTEGER) AS client_id, CAST(product_id AS INTEGER) AS product_id,
                    CAST(store_id AS INTEGER) AS store_id, CAST(SUM(quantity) AS INTEGER) AS quantity, MIN(times_written) AS times_written

@@ -22,6 +22,7 @@ from tidelake.session import staged
 from tidelake.sinks.files import FILE_DAY, days_of, observed, replace_days, write_csv, write_table
 from tidelake.sinks.jdbc import write_jdbc
 from tidelake.sinks.warehouse import load_dimension, load_fact
+from tidelake.sources.evolving import SchemaLedger, read_evolving_csv
 from tidelake.sources.files import DAY_FILES, DAY_FOLDERS, bronze_paths, date_range, file_day, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.sources.jdbc import SLICED_BY_DAY, extract_table, list_tables
 
@@ -155,9 +156,13 @@ def clean_shop_table(
     policies: dict[str, WritePolicy] = WRITE_POLICIES,
     dedupe: bool = True,
     multiline: bool = False,
+    ledger: SchemaLedger | None = None,
 ) -> None:
     """Bronze CSV of a table to silver, full rows once.
 
+    With a ``ledger`` files may name the table's columns in any order and lack some: the table then has all columns that were ever declared, in
+    their widest types, and days written before read as nulls what they lack. A declaration that narrows a column is an error before anything is read.
+
     Of a table that each day replaces as a whole, only the last day is read. Of one by day, a day without rows becomes empty. Rows
     without a day stay, in the partition of null, and are replaced with the day of their file.
     """
@@ -166,11 +171,13 @@ def clean_shop_table(
     if policy.mode == "overwrite":
         start = last
     paths = lake.bronze_paths(source, start, last, "csv")
+    schema = schemas[table] if ledger is None else ledger.declare(schemas[table])
+    read = read_bronze_csv if ledger is None else read_evolving_csv
     if not policy.partition_by:
-        rows = clean(read_bronze_csv(spark, paths, schemas[table], multiline), dedupe=dedupe)
+        rows = clean(read(spark, paths, schema, multiline), dedupe=dedupe)
         write_table(rows, lake.silver_path(table), policy, gather=last > start)
         return
-    rows = read_bronze_csv(spark, paths, schemas[table], multiline, file_column="_file")
+    rows = read(spark, paths, schema, multiline, file_column="_file")
     if policy.mode == "append":
         rows = rows.withColumn(FILE_DAY, F.when(F.col(policy.partition_by).isNull(), file_day(F.col("_file"), lake.bronze_layout)))
     rows = clean(_own_days(rows, policy.partition_by, "_file", lake.bronze_layout), dedupe=dedupe)
