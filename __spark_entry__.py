@@ -18,6 +18,8 @@ from tidelake.operators import (
     check_not_null,
     check_unique_key,
     clean,
+    dense_ranks,
+    distinct_rows,
     lookup_join,
     request_grid,
     roll_up,
@@ -30,6 +32,7 @@ from tidelake.plans.jobs import GOLD_FACTS, Lake, clean_out_of_stock, clean_shop
 from tidelake.schemas import WritePolicy, write_policy
 from tidelake.session import scratch_dir, staged
 from tidelake.sinks import create_star_schema, load_dimension, load_fact, write_csv, write_json, write_table
+from tidelake.sinks.versions import publish
 from tidelake.sources.evolving import SchemaLedger
 from tidelake.sources import DAY_FOLDERS, day_slice, read_bronze_csv, read_bronze_json, read_silver
 from tidelake.streaming import ingest_feed, take_landed
@@ -630,6 +633,33 @@ def orders_columns_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, lake.silver_path("orders"), ledger.versions()[-1])
 
 
+def dense_rank_every_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank of every part by what its lines cost, in cents."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    lines = _table(spark, sf_dir, "lineitem").select("l_partkey", cents.alias("cents"))
+    return dense_ranks(totals(lines, ["l_partkey"], ["cents"]), "cents", "cost_rank")
+
+
+def dedupe_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents but for their ids, each once."""
+    return distinct_rows(spark, f"{sf_dir}/documents.parquet", ["text", "lang", "source", "n_chars"])
+
+
+def published_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension without products of no department, published by switch; then a load that its check refuses; then the whole."""
+    root = scratch_dir(spark, "versions")
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    products, view = gold_dim_products(spark, sf_dir), f"{database}.dim_products"
+    one_row_a_key = lambda df: check_unique_key(df, ["product_id"])
+    publish(products.filter("department IS NOT NULL"), f"{root}/dim_products", view, one_row_a_key)
+    try:
+        publish(products.union(products), f"{root}/dim_products", view, one_row_a_key)
+    except ValueError:
+        publish(products, f"{root}/dim_products", view, one_row_a_key)
+    return spark.table(view)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the orders fact of the star schema."""
     return gold_fact_orders(spark, "/root/testdata/sf0.001")
@@ -688,6 +718,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_rewritten_in_place": feed_rewritten_in_place,
         "range_changed_days": range_changed_days,
         "orders_columns_moved": orders_columns_moved,
+        "dense_rank_every_part": dense_rank_every_part,
+        "dedupe_wide_rows": dedupe_wide_rows,
+        "published_dim_products": published_dim_products,
     }
 
 
@@ -905,6 +938,15 @@ def own_sql() -> dict[str, str]:
             SELECT DISTINCT CAST(ts AS DATE) AS date, user_id AS product_id
             FROM events, (SELECT CAST(MIN(ts) AS DATE) AS first FROM events) AS f
             WHERE CAST(ts AS DATE) <> first + 2 AND (CAST(ts AS DATE) <> first + 1 OR event_type <> 'view')""",
+        "dense_rank_every_part": """
+            SELECT l_partkey, cents, DENSE_RANK() OVER (ORDER BY cents DESC) AS cost_rank
+            FROM (SELECT l_partkey, CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem GROUP BY l_partkey) AS t""",
+        "dedupe_wide_rows": "SELECT DISTINCT text, lang, source, n_chars FROM documents",
+        "published_dim_products": """
+            SELECT p_partkey AS product_id, p_name AS product_name, d.p_type AS department, a.p_brand AS aisle
+            FROM part AS p
+            LEFT JOIN (SELECT DISTINCT p_type FROM part WHERE p_type <> 'SMALL') AS d ON p.p_type = d.p_type
+            LEFT JOIN (SELECT DISTINCT p_brand FROM part) AS a ON p.p_brand = a.p_brand""",
         "orders_columns_moved": """
             SELECT DISTINCT user_id % 50 AS product_id, user_id AS client_id, CAST(length(event_type) AS BIGINT) AS store_id,
                    event_id % 100 + CASE WHEN CAST(ts AS DATE) < first + 10 THEN 0 ELSE 1099511627776 END AS quantity, CAST(ts AS DATE) AS order_date,
