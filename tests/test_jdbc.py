@@ -52,6 +52,25 @@ def test_predicates_and_plain_read():
     assert asked(spark) == {"url": URL, "user": "u", "dbtable": "rental", "fetchsize": 10_000}
 
 
+def test_tasks_follow_the_number_of_rows():
+    spark = answering((2_500_000,))
+    read_table(spark, URL, "orders", USER, spread_by=["a", "b"], rows_per_task=1_000_000)
+    assert spark.read.format.return_value.options.call_args.kwargs["query"] == "SELECT COUNT(*) AS n FROM orders"
+    assert [p[-8:] for p in spark.read.jdbc.call_args.kwargs["predicates"]] == [f", 3) = {k}" for k in range(3)]
+    small = answering((7,))
+    read_table(small, URL, "orders", USER, spread_by=["a"])
+    assert not small.read.jdbc.called and asked(small)["dbtable"] == "orders"
+
+
+def test_conditions_take_every_row_once_and_spread_hot_values(spark, monkeypatch):
+    """As Spark evaluates them; a third of the rows share one product, some columns are null."""
+    rows_ = [(1 if n % 3 == 0 else n, None if n % 5 == 0 else n * 7, -n) for n in range(3000)]
+    frame = spark.createDataFrame(rows_, "product_id int, client_id int, store_id int")
+    monkeypatch.setattr(jdbc, "_jdbc", lambda *args, **options: spark.createDataFrame([(frame.count(),)], "n long"))
+    sizes = [frame.filter(c).count() for c in jdbc.spread(spark, URL, "orders", frame.columns, USER, 500)]
+    assert len(sizes) == 6 and sum(sizes) == 3000 and max(sizes) < 750
+
+
 def test_list_tables_quotes_the_schema():
     spark = MagicMock()
     list_tables(spark, URL, USER, schema="o'x")

@@ -232,7 +232,7 @@ def test_range_from_the_database(spark, lakes, tmp_path, monkeypatch):
     def extract(_spark, _url, name, day, _properties, last, **options):
         table = name.split(".")[1]
         asked.append(table)
-        assert options["num_partitions"] > 1
+        assert options["spread_by"]
         return landed[table].filter(landed[table]["order_date"].between(day, last)) if table == "orders" else landed[table]
 
     monkeypatch.setattr(jobs, "extract_table", extract)

@@ -53,10 +53,10 @@ def _together(spark: SparkSession, jobs: list[Callable[[], object]], at_once: in
     return [job.result() for job in running]
 
 
-def _split(table: str, schemas: Mapping[str, T.StructType], tasks: int = 8) -> dict:
-    """How to read a table by several tasks if nothing is said: strides of its first integer column."""
+def _split(table: str, schemas: Mapping[str, T.StructType]) -> dict:
+    """How to read a table if nothing is said: by as many tasks as its rows ask for, dealt by all its integer columns together."""
     keys = [f.name for f in schemas.get(table, ()) if isinstance(f.dataType, (T.IntegerType, T.LongType))]
-    return {"partition_column": keys[0], "num_partitions": tasks} if keys else {}
+    return {"spread_by": keys} if keys else {}
 
 
 def land_shop_table(
@@ -72,7 +72,7 @@ def land_shop_table(
     """One table of the database to bronze CSV: the day's orders, other tables whole.
 
     ``read_options`` split the read over tasks, each of which lands a file; without any, a declared table is
-    read in strides of its first integer column.
+    read by as many tasks as its rows ask for.
     """
     rows = extract_table(spark, url, f"{schema}.{table}", day, properties, **(read_options or _split(table, SHOP_SCHEMAS)))
     [path] = lake.bronze_paths(f"{lake.source}/{table}", day, day, "csv")

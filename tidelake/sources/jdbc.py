@@ -11,6 +11,8 @@ from tidelake.sources.files import day_slice
 
 # Fixed value: tables of which only the day's rows are extracted, with their date column.
 SLICED_BY_DAY = {"orders": "order_date"}
+#: Rows that a task reads where the number of tasks follows the table's size.
+ROWS_PER_TASK = 1_000_000
 
 
 def _jdbc(spark: SparkSession, url: str, properties: Mapping[str, str], **options) -> DataFrame:
@@ -26,6 +28,21 @@ def jdbc_bounds(
     return None if lowest is None else (str(lowest), str(highest))
 
 
+def spread(
+    spark: SparkSession, url: str, table: str, columns: Sequence[str], properties: Mapping[str, str], rows_per_task: int
+) -> list[str] | None:
+    """Conditions that deal a table's rows to tasks of about ``rows_per_task`` rows each; nothing if one task is enough.
+
+    Rows are dealt by a sum over several integer ``columns``, so that a value that many rows share in one of them is spread by the others. Nulls
+    count as zero; every row meets one condition.
+    """
+    query = f"SELECT COUNT(*) AS n FROM {table}"
+    tasks = -(-int(_jdbc(spark, url, properties, query=query).first()[0]) // rows_per_task)
+    # Remainders by primes, so that sums neither overflow nor follow a pattern of the keys.
+    total = " + ".join(f"MOD(COALESCE(CAST({c} AS BIGINT), 0), 1000003) * {7919 * (n + 1)}" for n, c in enumerate(columns))
+    return [f"MOD(MOD(ABS({total}), 999983), {tasks}) = {k}" for k in range(tasks)] if tasks > 1 else None
+
+
 def read_table(
     spark: SparkSession,
     url: str,
@@ -36,14 +53,20 @@ def read_table(
     bounds: tuple | None = None,
     predicates: Sequence[str] | None = None,
     fetch_size: int = 10_000,
+    spread_by: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """A table, read by one task unless told how to split it.
 
+    With ``spread_by``, integer columns, the database counts the rows, and as many tasks read it as have ``rows_per_task`` rows each.
+
     Either an integer, date or timestamp ``partition_column`` is cut into
     ``num_partitions`` strides between ``bounds`` (asked from the database if not given),
     or, where its values are unevenly spread, ``predicates`` lists one condition per
     task. Filters and columns chosen later reach the database.
     """
+    if spread_by and predicates is None:
+        predicates = spread(spark, url, table, spread_by, properties, rows_per_task)
     if predicates is not None:
         options = {"fetchsize": str(fetch_size), **properties}
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
