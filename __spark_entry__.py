@@ -564,7 +564,7 @@ def documents_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks and quotes as CSV, every file read by many tasks."""
     documents, path = _table(spark, sf_dir, "documents"), scratch_dir(spark, "documents-csv")
     write_csv(documents, path)
-    return read_bronze_csv(spark, path, documents.schema, multiline=True, block_bytes=1 << 18)
+    return read_bronze_csv(spark, path, documents.schema, multiline=True, block_bytes=1 << 20)
 
 
 def _land_one_array(rows: DataFrame, path: str, day_column: str) -> None:
