@@ -113,9 +113,18 @@ def test_hot_keys_from_another_table(facts, lookup, always_salted):
     assert salted.count() == facts.join(lookup, "k", "left").count()
 
 
-def test_keys_of_different_types_join_plainly(facts, lookup, always_salted, physical_plan):
-    narrow = lookup.select(F.col("k").cast("int").alias("k"), "name")
-    joined = lookup_join(facts, narrow, "k")
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_integer_keys_of_different_widths_are_split(facts, lookup, always_salted, physical_plan, how):
+    narrow = lookup.filter("k <> 3").select(F.col("k").cast("int").alias("k"), "name")
+    for left, right in ((facts, narrow), (facts.withColumn("k", F.col("k").cast("smallint")), lookup.filter("k <> 3"))):
+        joined, plain = lookup_join(left, right, "k", how), left.join(right, "k", how)
+        assert "_salt" in physical_plan(joined) and joined.schema["k"].dataType == left.schema["k"].dataType
+        assert joined.exceptAll(plain).isEmpty() and joined.count() == plain.count()
+
+
+def test_keys_of_other_types_join_plainly(facts, lookup, always_salted, physical_plan):
+    text = lookup.select(F.col("k").cast("string").alias("k"), "name")
+    joined = lookup_join(facts, text, "k")
     assert "_salt" not in physical_plan(joined)
     assert joined.count() == facts.join(lookup, "k").count()
 

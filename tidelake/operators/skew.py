@@ -125,11 +125,20 @@ def _salted_join(
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def _may_skew(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> bool:
-    if fits_broadcast(lookup) or (how == "inner" and fits_broadcast(facts)):
-        return False
-    # Keys of different types would hash differently on the two sides.
-    return all(facts.schema[k].dataType == lookup.schema[k].dataType for k in keys)
+def _may_skew(facts: DataFrame, lookup: DataFrame, how: str) -> bool:
+    return not (fits_broadcast(lookup) or (how == "inner" and fits_broadcast(facts)))
+
+
+def _aligned(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Integer keys of different widths as bigint, so that both sides hash alike; a join compares them so anyway."""
+    unlike = [k for k in keys if df.schema[k].dataType != other.schema[k].dataType]
+    return df.withColumns({k: F.col(k).cast("bigint") for k in unlike}) if unlike else df
+
+
+def _alike(facts: DataFrame, lookup: DataFrame, keys: list[str]) -> bool:
+    """Whether keys are of one type on both sides, or all that are not are integers."""
+    types = [(facts.schema[k].dataType, lookup.schema[k].dataType) for k in keys]
+    return all(a == b or (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)) for a, b in types)
 
 
 def lookup_join(
@@ -147,16 +156,22 @@ def lookup_join(
 
     ``keys_from`` is the table to look for hot keys in, for ``facts`` that are the
     result of joins: looking there costs a scan, looking in ``facts`` the joins. The look is a job of
-    its own, run when the plan is made, wherever neither side is broadcast.
+    its own, run when the plan is made, wherever neither side is broadcast. Integer keys may be of different widths; keys of other different types are compared as Spark
+    compares them, and not split.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     source = facts if keys_from is None else keys_from
-    hot = hot_keys(source, keys) if _may_skew(facts, lookup, keys, how) else {}
+    if not (_may_skew(facts, lookup, how) and _alike(facts, lookup, keys)):
+        return facts.join(lookup, keys, how)
+    wide = _aligned(facts, lookup, keys)
+    hot = hot_keys(_aligned(source, wide, keys), keys)
     if not hot:
         return facts.join(lookup, keys, how)
-    return _salted_join(facts, lookup, keys, how, hot)
+    joined = _salted_join(wide, _aligned(lookup, wide, keys), keys, how, hot)
+    # A key keeps the type that it has among the facts.
+    return joined.withColumns({k: F.col(k).cast(facts.schema[k].dataType) for k in keys if wide.schema[k].dataType != facts.schema[k].dataType})
 
 
 def unreferenced(items: DataFrame, references: DataFrame, on: str) -> DataFrame:
