@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.common import ascii_lower, positions, whole, words
+from tidelake.llm.common import ascii_lower, numbered, positions, whole, words
 from tidelake.session import staged
 
 #: Runs of ASCII digits, letters (lower-cased before) and anything beyond ASCII.
@@ -126,9 +126,16 @@ def contaminated(least_share: int = 20) -> Column:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_share: int = 20) -> DataFrame:
-    """``docs`` without contaminated texts; columns as they are."""
-    bad = find_hits(docs, benchmark, window).filter(contaminated(least_share)).select(F.col("text_key").alias("bad")).distinct()
-    return docs.join(bad, F.md5(whole(docs["text"])) == bad["bad"], "left_anti")
+    """``docs`` without contaminated texts; columns as they are, whatever their names.
+
+    Null and empty texts stay, as nothing is hit in them; repeated rows and null ids are judged row by row. Only the numbers of contaminated
+    rows meet the rows, which do not meet by their texts.
+    """
+    rows = numbered(docs, "decontaminate-rows")
+    hits = find_hits(rows.select(F.col("row").alias("doc_id"), "own.text"), benchmark, window)
+    # Written, so that its size tells whether the rows have to be shuffled.
+    bad = staged(hits.filter(contaminated(least_share)).select(F.col("doc_id").alias("row")), "contaminated")
+    return rows.join(bad, "row", "left_anti").select("own.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
@@ -136,11 +143,12 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Dat
 
     A text without hits stays as it is, a null one null. ``n_chars``, where there is such a column, follows.
     """
-    hit = find_hits(docs, benchmark, window).filter("n_hit > 0").groupBy("text_key").agg(F.first("runs").alias("hit_runs"))
-    joined = docs.join(hit, F.md5(whole(docs["text"])) == hit["text_key"], "left")
-    text = docs["text"]
+    rows = numbered(docs, "decontaminate-rows")
+    hits = find_hits(rows.select(F.col("row").alias("doc_id"), "own.text"), benchmark, window)
+    joined = rows.join(staged(hits.filter("n_hit > 0").select(F.col("doc_id").alias("row"), "runs"), "hit-runs"), "row", "left")
+    text = F.col("own.text")
     every, gaps = words(text, CASED_WORD), F.split(text, CASED_WORD, -1)
-    inside = F.flatten(F.transform("hit_runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))
+    inside = F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))
     kept = F.array_except(positions(0, F.size(every)), inside)
 
     def rest(parts: Column) -> Column:
@@ -148,7 +156,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Dat
         return F.concat(F.get(parts["gaps"], F.lit(0)), F.array_join(pieces, ""))
 
     parts = F.array(F.struct(every.alias("every"), gaps.alias("gaps")))
-    new = F.when(F.col("hit_runs").isNull(), text).otherwise(F.get(F.transform(parts, rest), F.lit(0)))
-    columns = [new.alias(c) if c == "text" else docs[c] for c in docs.columns]
-    result = joined.select(*columns)
-    return result.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else result
+    new = F.when(F.col("runs").isNull(), text).otherwise(F.get(F.transform(parts, rest), F.lit(0)))
+    follows = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        follows["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    return joined.select("own", new.alias("new")).select(*[follows.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.bytewords import BLANK, Pieces, pieces, word_hashes, word_starts
@@ -198,8 +199,24 @@ def score(docs: DataFrame, model: Attention) -> DataFrame:
     return rows.mapInArrow(_scorer(model), "doc_id long, text_key string, score double")
 
 
+def _keeper(model: Attention, least: float, at: int):
+    scored = _scorer(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(at).fill_null("")], names=["text"])
+            for scores in scored(iter([texts])):
+                yield batch.filter(pc.greater_equal(scores.column("score"), least))
+
+    return kept
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` whose text scores ``least`` or more; columns as they are, repeated rows and null ids included."""
-    scores = score(docs, train(docs, labels, sample))
-    bad = scores.filter(F.col("score") < least).select(F.col("text_key").alias("bad")).distinct()
-    return docs.join(bad, F.md5(whole(docs["text"])) == bad["bad"], "left_anti")
+    """``docs`` whose text scores ``least`` or more; columns as they are, repeated rows and null ids included.
+
+    Null and empty texts score alike. Rows pass through the scoring map with all their columns, so nothing is joined or shuffled.
+    """
+    # Numbered, as names may hold dots.
+    rows = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    keep = _keeper(train(docs, labels, sample), least, docs.columns.index("text"))
+    return rows.mapInArrow(keep, rows.schema).toDF(*docs.columns)

@@ -151,5 +151,6 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     A row without an id can't be named and stays; a row repeated with its id stays repeated.
     """
     classes = near_duplicates(docs, shingle, max_bits)
-    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    # Written, so that its size tells whether the rows have to be shuffled.
+    gone = staged(classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "simhash-gone")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
