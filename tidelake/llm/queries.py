@@ -103,11 +103,20 @@ def _prompt(longest: int) -> dict:
     return {"type": "object", "required": ["prompt", "words"], "additionalProperties": False, "properties": {"prompt": prompt, "words": words}}
 
 
+#: Words of a call that says too little.
+VAGUE = 20
+
+
 def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user's turn calls an assistant, with the text as argument, and needs the answer before; the assistant's turn is the result."""
+    """A user's turn calls an assistant, with the text as argument; the assistant's turn is the result.
+
+    A call needs the answer before. One of a few words says too little: it needs the answer of the next call instead, and that one
+    not its own.
+    """
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     is_call, is_result = F.col("role") == "user", F.col("role") == "assistant"
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
+    vague = is_call & (words < VAGUE)
     steps = turns.select(
         "conv_id",
         "turn",
@@ -117,25 +126,39 @@ def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_call, F.concat_ws("-", "conv_id", "turn")).when(is_result, F.concat_ws("-", "conv_id", F.col("turn") - 1)).alias("call_id"),
         F.when(is_call, F.when(F.col("turn") < 2, "open").otherwise("follow")).alias("name"),
         F.when(is_call, F.to_json(F.struct(F.col("text").alias("prompt"), words.alias("words")))).alias("arguments"),
-        F.when(is_call, F.array(F.concat_ws("-", "conv_id", F.col("turn") - 2))).alias("needs"),
+        F.when(is_call, F.array(F.concat_ws("-", "conv_id", F.col("turn") + F.when(vague, 2).otherwise(-2)))).alias("needs"),
+        vague.alias("vague"),
     )
+    before = steps.filter("vague").select(F.col("conv_id").alias("of_conv"), (F.col("turn") + 2).alias("of_turn")).distinct()
+    steps = steps.join(before, (F.col("conv_id") == F.col("of_conv")) & (F.col("turn") == F.col("of_turn")), "left")
+    steps = steps.withColumn("needs", F.when(F.col("vague") | F.col("of_conv").isNull(), F.col("needs")))
     found = tool_calls.format_chat(steps, {"open": _prompt(40), "follow": _prompt(20)})
     return found.withColumn("errors", F.array_join("errors", "; "))
 
 
 OP6_SQL = """
-    WITH steps AS (
+    WITH RECURSIVE steps AS (
         SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
         FROM conversations),
     tools AS (SELECT conv_id, turn, conv_id || '-' || turn AS id, CASE WHEN turn < 2 THEN 'open' ELSE 'follow' END AS name
               FROM steps WHERE kind = 'call'),
-    results AS (SELECT conv_id, turn - 1 AS call_turn FROM steps WHERE kind = 'result')
+    results AS (SELECT conv_id, turn - 1 AS call_turn FROM steps WHERE kind = 'result'),
+    -- Each call that says too little waits for the next call, and where that one says too little for the one after it.
+    waits AS (SELECT a.conv_id, a.turn FROM steps a JOIN tools b ON a.conv_id = b.conv_id AND b.turn = a.turn + 2
+              WHERE a.kind = 'call' AND a.words < :vague),
+    run AS (
+        SELECT conv_id, turn, turn + 2 AS until, 1 AS far FROM waits
+        UNION ALL SELECT run.conv_id, run.turn, until + 2, far + 1 FROM run JOIN waits w ON w.conv_id = run.conv_id AND w.turn = until),
+    late AS (
+        SELECT run.conv_id, run.turn, max(until + CASE WHEN r.conv_id IS NULL THEN 0 ELSE 1 END) AS major, max(far) AS minor
+        FROM run LEFT JOIN results r ON r.conv_id = run.conv_id AND r.call_turn = until GROUP BY run.conv_id, run.turn)
     SELECT s.conv_id, s.turn, s.kind,
         CASE s.kind WHEN 'call' THEN c.id WHEN 'result' THEN s.conv_id || '-' || (s.turn - 1) END AS call_id,
         CASE WHEN s.kind = 'message' THEN 'message' WHEN c.id IS NULL THEN 'orphan'
             WHEN s.kind = 'call' AND r.conv_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
-        s.turn AS major, CAST(0 AS BIGINT) AS minor,
+        CASE WHEN l.major > s.turn THEN l.major ELSE s.turn END AS major,
+        CAST(CASE WHEN l.major >= s.turn THEN l.minor ELSE 0 END AS BIGINT) AS minor,
         CASE WHEN s.kind <> 'call' THEN '' ELSE concat_ws('; ',
             CASE WHEN text IS NULL THEN '$.prompt: required' WHEN text = '' THEN '$.prompt: minLength'
                 WHEN length(text) > 400 THEN '$.prompt: maxLength' END,
@@ -149,7 +172,10 @@ OP6_SQL = """
                 || '},"call_id":"' || c.id || '","kind":"call","name":"' || c.name || '"}' END AS json
     FROM steps s
     LEFT JOIN tools c ON c.conv_id = s.conv_id AND c.turn = CASE s.kind WHEN 'call' THEN s.turn WHEN 'result' THEN s.turn - 1 END
-    LEFT JOIN results r ON r.conv_id = s.conv_id AND r.call_turn = s.turn"""
+    LEFT JOIN results r ON r.conv_id = s.conv_id AND r.call_turn = s.turn
+    LEFT JOIN late l ON l.conv_id = s.conv_id AND l.turn = CASE s.kind WHEN 'call' THEN s.turn WHEN 'result' THEN s.turn - 1 END""".replace(
+    ":vague", str(VAGUE)
+)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.session import staged
 
@@ -93,31 +93,66 @@ def _formatted(schemas: dict[str, dict]):
     return formatted
 
 
+def _then(a: Column, c: Column, k: Column, b: Column, d: Column) -> tuple[Column, Column]:
+    """Least place and its step of a way that goes on by another one, of ``k`` steps, whose least place is ``b`` with step ``d``."""
+    return F.greatest(a, b), F.when(a > b, c + k).when(a == b, F.greatest(c + k, d)).otherwise(d)
+
+
 def _ordered(pairs: DataFrame, needs: DataFrame) -> DataFrame:
-    """``conv_id, call_id, major, minor, cyclic`` of the calls that have to wait: the others keep their turn.
+    """``conv_id, call_id, major, minor, cyclic`` of the calls that have to wait, or can't be ordered: the others keep their turn.
+
+    A call comes no sooner than the results it needs: its place is the largest of its own turn and, for each need, the place of the result's turn or
+    of the call that it waits with, a step later. A need thus turns the needed call's place into one of the call: places before ``least`` into
+    ``(least, step)``, later ones ``k`` steps on. Two such ways in a row are one of the same kind, which is what rounds make use of. Each round settles the calls
+    all of whose needs are settled, and lets every need of a call with a single open need lead to what that one needs. So chains and trees of needs take a
+    logarithmic number of rounds. A round that settles nothing leaves calls that need their own results, and those that need such a call.
 
-    A call comes no sooner than the results it needs. Its place is the larger of its own turn and the places of these, plus a
-    step. Only places that move are sent on, so conversations in order cost one look; the rounds follow the longest chain against the
-    turns. A place that has taken more steps than its conversation has needs lies on a cycle or waits for one; twice as many show all of them.
+    Conversations in which every result stands before the calls that need it cost one look. Calls and needs are joined by conversation and identifier; none is gathered.
     """
     edges = needs.join(pairs.select("conv_id", F.col("call_id").alias("needed"), F.greatest("call_turn", "result_turn").alias("ready")), ["conv_id", "needed"])
     edges = edges.join(pairs.select("conv_id", "call_id", "call_turn"), ["conv_id", "call_id"])
     edges = staged(edges.select("conv_id", "call_id", "needed", "call_turn", "ready"), "tool-edges")
-    late = edges.filter("ready >= call_turn").groupBy("conv_id", "call_id").agg(F.max("ready").alias("major"), F.lit(1).cast("long").alias("minor"))
-    limits = edges.groupBy("conv_id").agg(F.count("*").alias("most"))
-    moved = staged(late, "tool-order")
+    late = edges.filter("ready >= call_turn").select("conv_id").distinct()
+    edges = staged(edges.join(late, "conv_id", "left_semi"), "tool-late-edges")
+    one = ["conv_id", "call_id"]
+    held = edges.select(*one, F.col("call_turn").alias("major"), F.lit(0).cast("long").alias("minor")).distinct()
+    calls = pairs.join(edges.select("conv_id", F.col("needed").alias("call_id")).distinct(), one, "left_semi")
+    fresh = calls.join(held, one, "left_anti").select(*one, F.col("call_turn").alias("major"), F.lit(0).cast("long").alias("minor"))
+    ways = edges.select(*one, "needed", F.greatest("ready", "call_turn").alias("least"), (F.col("ready") >= F.col("call_turn")).cast("long").alias("step"), F.lit(1).cast("long").alias("k"))
+    held, fresh, ways, settled = staged(held, "tool-held"), staged(fresh, "tool-fresh"), staged(ways, "tool-ways"), []
     while True:
-        mine = moved.withColumnRenamed("call_id", "needed").join(limits, "conv_id").filter("minor <= 2 * most").drop("most")
-        # The result of a call that waits waits with it.
-        pushed = edges.join(mine, ["conv_id", "needed"]).filter("greatest(major, ready) >= call_turn")
-        pushed = pushed.select("conv_id", "call_id", F.greatest("major", "ready").alias("major"), F.when(F.col("major") >= F.col("ready"), F.col("minor") + 1).otherwise(1).alias("minor"))
-        place = F.max(F.struct("major", "minor")).alias("place")
-        new = moved.unionByName(pushed).groupBy("conv_id", "call_id").agg(place).select("conv_id", "call_id", "place.*")
-        new = staged(new, "tool-order")
-        if not new.exceptAll(moved).take(1):
+        came = fresh.select("conv_id", F.col("call_id").alias("needed"), "major", "minor")
+        major, minor = _then(F.col("major"), F.col("minor"), F.col("k"), F.col("least"), F.col("step"))
+        places = ways.join(came, ["conv_id", "needed"]).select(*one, major.alias("major"), minor.alias("minor"))
+        held = held.unionByName(places).groupBy(*one).agg(F.max(F.struct("major", "minor")).alias("place")).select(*one, "place.*")
+        ways = staged(ways.join(came, ["conv_id", "needed"], "left_anti"), "tool-ways")
+        held = staged(held, "tool-held")
+        fresh = staged(held.join(ways, one, "left_anti"), "tool-fresh")
+        if not fresh.take(1):
             break
-        moved = new
-    return moved.join(limits, "conv_id").select("conv_id", "call_id", "major", "minor", (F.col("minor") > F.col("most")).alias("cyclic"))
+        settled.append(fresh)
+        held = held.join(fresh, one, "left_anti")
+        # Of a call with one open need: the way to it, no sooner than what the call waits for already.
+        only = ways.groupBy(*one).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("needed", "least", "step", "k")]).filter("n = 1").join(held, one)
+        least, step = _then(F.col("least"), F.col("step"), F.lit(0), F.col("major"), F.col("minor"))
+        only = only.select("conv_id", F.col("call_id").alias("by"), F.col("needed").alias("beyond"), least.alias("least_1"), step.alias("step_1"), F.col("k").alias("k_1"))
+        on = (F.col("needed") == F.col("by")) & (F.col("conv_id") == F.col("of_conv"))
+        least, step = _then(F.col("least_1"), F.col("step_1"), F.col("k"), F.col("least"), F.col("step"))
+        met = ways.join(only.withColumnRenamed("conv_id", "of_conv"), on, "left")
+        is_met = F.col("by").isNotNull()
+        ways = met.select(
+            *one,
+            F.coalesce("beyond", "needed").alias("needed"),
+            F.when(is_met, least).otherwise(F.col("least")).alias("least"),
+            F.when(is_met, step).otherwise(F.col("step")).alias("step"),
+            F.when(is_met, F.col("k") + F.col("k_1")).otherwise(F.col("k")).alias("k"),
+        )
+        ways = staged(ways, "tool-ways")
+    order = held.withColumn("cyclic", F.lit(True))
+    for places in settled:
+        order = order.unionByName(places.withColumn("cyclic", F.lit(False)))
+    turns = pairs.select(*one, "call_turn")
+    return order.join(turns, one).filter("cyclic OR major > call_turn OR minor > 0").drop("call_turn")
 
 
 def format_chat(steps: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -129,7 +164,7 @@ def format_chat(steps: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     - message: not a step of a tool. linked: a call with a result, and that result.
     - unanswered: a call without a result. orphan: a result without a call, or any without an identifier.
     - duplicate: a second call, or a second result, of an identifier; the first by turn, then name or content, is taken.
-    - cyclic: a call that needs its own result, over any number of steps, or one that waits for such a call; and its result.
+    - cyclic: a call that needs its own result, over any number of steps, or needs such a call's; and its result.
 
     Ordered by ``(major, minor, kind, turn)``, every call precedes its result and follows the results it needs. Others stand at their turn. A
     null turn comes first; needs of calls that don't exist are ignored. ``errors`` lists where the arguments break
