@@ -612,7 +612,8 @@ def range_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs += [run_changed(spark, lake, first, last, schemas=schemas, gold_tables=GOLD_FACTS) for _ in range(2)]
     written = [(day,) for run in runs for day in run.gold.get("orders", [])]
     times = spark.createDataFrame(written, "order_date date").groupBy("order_date").agg(F.count("*").alias("times_written"))
-    return spark.table(f"{database}.orders").join(times, "order_date")
+    # A row for each calendar day.
+    return spark.table(f"{database}.orders").join(F.broadcast(times), "order_date")
 
 
 def orders_columns_moved(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = ("bronze_", "silver_append", "silver_s", "silver_day", "stream_", "feed_", "orders_bronze", "warehouse_", "run_range", "backfill")
+WRITING = ("bronze_", "documents_csv", "range_changed", "orders_columns", "silver_append", "silver_s", "silver_day", "stream_", "feed_", "orders_bronze", "warehouse_", "run_range", "backfill")
 READ_ONLY = [n for n in entry.own_queries() if not n.startswith(WRITING)]
 
 

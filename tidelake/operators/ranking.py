@@ -42,6 +42,8 @@ def dense_ranks(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
         base += row["count"]
     bases = F.broadcast(spark.createDataFrame(before, "_part long, _base long"))
     ranks = placed.join(bases, part == F.col("_part")).select(value, (F.col("_base") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(rank))
+    # Written, so that its true size decides about a broadcast.
+    ranks = staged(ranks, "ranks")
     return lookup_join(df, ranks, value, "left").withColumn(rank, F.coalesce(rank, F.lit(base + 1).cast("long")))
 
 
