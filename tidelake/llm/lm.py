@@ -6,7 +6,7 @@ towards the word's own probability. It sums to one over the known words and one
 Texts are cut into blocks of a bounded number of tokens, in which words and pairs are counted first, so that frequent ones cross
 the cluster once for each block. Three exchanges of packed arrays follow. Words go to shards by hash, are numbered
 and counted, and the numbers come back to the blocks; pairs go to shards by context, which build their part of the trie, look
-up every pair in it, and send each block the sums of its texts; blocks give rows. No task holds the whole vocabulary or trie.
+up every pair in it, and send each block the sums of its texts; blocks give rows. Shards follow the number of blocks. No task holds the whole vocabulary or trie.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from tidelake.session import staged
 
 #: Tokens of a block, but for one longer text, which is a block of its own.
 BLOCK = 1 << 20
+#: Blocks whose tokens a shard holds on average, at most: with more there are more shards.
+SHARD_BLOCKS = 4
 #: m: what a context's occurrences are weighed against.
 PRIOR = 20.0
 #: Words in code: unknown ones, and what stands before a text. Others are numbered from 2.
@@ -139,9 +141,10 @@ def _word_pieces(shards: int):
             for number, packed in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
                 names, counts = unpack(packed)
                 at = _cuts(names, shards)
-                parts = [pack([names[a:b], counts[a:b]]) for a, b in zip(at[:-1], at[1:], strict=True)]
+                some = np.flatnonzero(np.diff(at))
+                parts = [pack([names[at[s] : at[s + 1]], counts[at[s] : at[s + 1]]]) for s in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(shards), pa.int32()), pa.array([number] * shards, pa.int64()), pa.array(parts, pa.binary())], names=["shard", "block", "words"]
+                    [pa.array(some, pa.int32()), pa.array([number] * len(some), pa.int64()), pa.array(parts, pa.binary())], names=["shard", "block", "words"]
                 )
 
     return cut_up
@@ -345,9 +348,10 @@ def score(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFrame:
     id are rows of their own, and teach as often as they come; other columns are ignored. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", modulus, remainder).alias("held"), whole("text").alias("text"))
     blocks = staged(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks")
+    # As many as Spark shuffles to, or more where the text is large.
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // SHARD_BLOCKS))
     words = blocks.select("block", "words").mapInArrow(_word_pieces(shards), "shard int, block long, words binary")
     numbered = staged(words.groupBy("shard").applyInArrow(_number, NUMBERED), "lm-words")
     # One row for each shard.
